@@ -99,7 +99,7 @@ def mix_plan(rows: DataFrame, weights: tuple[float, ...], share: float, cap: flo
     taken = _uses(share_of, slots, shards, seed).filter(F.col("slot") < F.col("n_blocks") * int(cap))
     taken = taken.select("si", _permuted(F.col("slot"), F.col("n_blocks"), F.col("si"), seed).alias("block"), F.floor(F.col("slot") / F.col("n_blocks")).alias("turn"))
     # Where each row stands in its source: sums by bucket, then within the bucket, so that no source is one task's.
-    buckets = max(1, n_rows // 20_000)
+    buckets = max(1, n_rows // 2_000)
     dealt = known.filter("size > 0").select("row", "si", "size", "doc_id", F.pmod(F.xxhash64("doc_id", "row"), F.lit(buckets)).alias("bucket"))
     sums = dealt.groupBy("si", "bucket").agg(F.sum("size").alias("n"))
     sums = sums.select("si", "bucket", (F.sum("n").over(Window.partitionBy("si").orderBy("bucket")) - F.col("n")).alias("base"))
@@ -110,7 +110,8 @@ def mix_plan(rows: DataFrame, weights: tuple[float, ...], share: float, cap: flo
     start = F.greatest(F.col("block") * block - F.col("first"), F.lit(0))
     end = F.least((F.col("block") + 1) * block - F.col("first"), F.col("size"))
     parts = parts.select("row", "si", "block", start.cast("long").alias("start"), (end - start).cast("long").alias("length"))
-    return known, parts.join(taken, ["si", "block"]).select("row", F.col("turn").cast("long").alias("turn"), "start", "length")
+    # Without the hint the planner takes the slots for as few as the shards they come from, and broadcasts them.
+    return known, parts.hint("merge").join(taken.hint("merge"), ["si", "block"]).select("row", F.col("turn").cast("long").alias("turn"), "start", "length")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
