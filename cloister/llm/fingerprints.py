@@ -212,10 +212,10 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pd.Series(np.searchsorted(cuts, key.to_numpy(dtype=np.float64)).astype(np.int32))
 
     keyed = keyed.withColumn("bucket", range_of("key"))
-    # One row for each range: its first document, to stand after the range before it.
+    # One row for each range: its first document, to stand after the range before it. There are at most 10,000 ranges.
     heads = keyed.groupBy("bucket").agg(F.max("key").alias("key"))
-    first = keyed.join(heads, ["bucket", "key"]).groupBy("bucket", "key").agg(F.max(F.xxhash64("text")).alias("th"))
-    first = keyed.withColumn("th", F.xxhash64("text")).join(first, ["bucket", "key", "th"]).dropDuplicates(["bucket"])
+    first = keyed.join(F.broadcast(heads), ["bucket", "key"]).groupBy("bucket", "key").agg(F.max(F.xxhash64("text")).alias("th"))
+    first = keyed.withColumn("th", F.xxhash64("text")).join(F.broadcast(first), ["bucket", "key", "th"]).dropDuplicates(["bucket"])
     downward = Window.orderBy(F.desc("bucket"))
     whole = downward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = first.withColumn("bucket", F.coalesce(F.lag("bucket").over(downward), F.last("bucket").over(whole)))
