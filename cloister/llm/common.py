@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 _own_dir: list[str] = []
+#: Applications that have this package on their executors.
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,8 +52,19 @@ def discard(df: DataFrame) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep Arrow batches of whole texts small, so that a Python worker's memory stays bounded."""
+    """Make a session fit for Python operators: Arrow batches of whole texts stay small, so that a worker's memory is
+    bounded, and executors get this package, wherever they run."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        folder = Path(tempfile.mkdtemp(prefix="cloister-code-"))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        with zipfile.ZipFile(folder / "cloister_code.zip", "w") as out:
+            for f in sorted(package.rglob("*.py")):
+                out.write(f, f.relative_to(package.parent))
+        context.addPyFile(str(folder / "cloister_code.zip"))
+        _shipped.add(context.applicationId)
 
 
 def word_count(text: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing, packing
+from . import chunks, fingerprints, lines, minhash, mixing, packing
 from .common import table
 
 
@@ -14,6 +14,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated_lines(table(spark, sf_dir, "documents"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
@@ -22,10 +31,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_minhash": op3_minhash,
+    "op5_lines": op5_lines,
     "op7_fingerprints": op7_fingerprints,
     "op8_mixing": op8_mixing,
+    "op10_chunks": op10_chunks,
 }
 
 ORACLE_SQL: dict[str, str] = {}
