@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, fingerprints, lines, minhash, mixing, packing
+from . import chat, chunks, covertree, fingerprints, lines, minhash, mixing, packing, pages, quality
 from .common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -19,10 +23,18 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.deduplicated_lines(table(spark, sf_dir, "documents"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
@@ -31,16 +43,24 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op3_minhash": op3_minhash,
+    "op4_pages": op4_pages,
     "op5_lines": op5_lines,
+    "op6_chat": op6_chat,
     "op7_fingerprints": op7_fingerprints,
     "op8_mixing": op8_mixing,
+    "op9_vectors": op9_vectors,
     "op10_chunks": op10_chunks,
 }
 
