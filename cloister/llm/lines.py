@@ -3,8 +3,10 @@
 Lines within ``edits`` of each other share a segment: cut one into ``edits + 1`` segments, and at least one of them
 stands in the other, unshifted but for as many places as edits allow. Every distinct line of ``least_chars`` or more is
 indexed by its segments under (length, segment number, hash), and probes the indexes of its own and of smaller lengths
-with the substrings that can match; pairs that meet are verified on whole lines by a bit-parallel edit distance that
-computes only the diagonals within the threshold. Shorter lines are never near anything and never dropped.
+with the substrings that can match. Keys travel in packed arrays, one for each task and bucket of keys, and meet there. Of
+the pairs that meet, those go whose characters occur an odd number of times too differently (an edit changes that for two
+characters at most); the rest are verified on whole lines by a bit-parallel edit distance that computes only the diagonals
+within the threshold. Shorter lines are never near anything and never dropped.
 
 A line is dropped where the same line, or one within ``edits`` of it, stands earlier: by document id, then place.
 """
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -89,76 +92,193 @@ def probes(length: int, other: int, edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-_OCCURRENCES = "doc_id long, th long, place int, digest binary"
-_KEYS = "key long, digest binary, probe boolean"
+_OCCURRENCES = "doc_id long, th long, place int, h1 long, h2 long, again boolean"
+_RECORD = np.dtype([("key", "<u4"), ("odd", "<u4"), ("line", "<u8")])
+#: Records of one bucket of keys, about; records that a task gathers before it passes them on.
+_BUCKET, _GATHER = 500_000, 1_500_000
+#: Pairs looked at together.
+_PAIRS = 1 << 21
 
 
 def _split(text: str | None) -> list[str]:
     return text.split("\n") if text else []
 
 
+def _digest(line: str) -> tuple[int, int]:
+    d = xxhash.xxh3_128_intdigest(line.encode("utf-8", "surrogatepass"))
+    return d >> 64, d & 0xFFFFFFFFFFFFFFFF
+
+
+def _signed(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
+
+
 def _occurrences(least_chars: int):
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 some = batch.slice(i, 200)
-                ids, hashes, places, digests, enough = [], [], [], [], []
+                ids, hashes, places, high, low, again = [], [], [], [], [], []
                 for doc_id, th, text in zip(*(some.column(k).to_pylist() for k in ("doc_id", "th", "text"))):
+                    seen: set[str] = set()
                     for place, line in enumerate(_split(text)):
                         if len(line) >= least_chars:
+                            a, b = _digest(line)
                             ids.append(doc_id)
                             hashes.append(th)
                             places.append(place)
-                            digests.append(xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass")))
-                columns = [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(places, pa.int32()), pa.array(digests, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "place", "digest"])
+                            high.append(a)
+                            low.append(b)
+                            again.append(line in seen)
+                            seen.add(line)
+                columns = [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(places, pa.int32()), _signed(high), _signed(low), pa.array(again, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _OCCURRENCES.split(", ")])
 
     return lines
 
 
-def _keys(least_chars: int, edits: int):
+def odd_characters(lines: list[str]) -> np.ndarray:
+    """For each line, which of 32 kinds of characters occur an odd number of times in it."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+    ends = np.cumsum([len(x) for x in lines])
+    return np.bitwise_xor.reduceat(np.uint32(1) << (codes & np.uint32(31)), np.concatenate([[0], ends[:-1]]))
+
+
+def _line_keys(line: str, known: dict[int, tuple[list, list]], least_chars: int, edits: int) -> tuple[list[int], int]:
+    """Keys of a line, those it is indexed by first, and how many these are. A probe that equals its own index is left out:
+    both sides of a key are found by the index."""
+    n = len(line)
+    if n not in known:
+        index = [(n * 16 + k, a, a + size) for k, (a, size) in enumerate(segments(n, edits))]
+        probe = [(m * 16 + k, a, a + size) for m in range(max(least_chars, n - edits), n + 1) for k, a, size in probes(n, m, edits)]
+        known[n] = (index, [x for x in probe if x not in index])
+    index, probe = known[n]
+    raw = line.encode("utf-8", "surrogatepass")
+    hashed = xxhash.xxh3_64_intdigest
+    if len(raw) == n:
+        return [hashed(raw[a:b], s) for s, a, b in index] + [hashed(raw[a:b], s) for s, a, b in probe], len(index)
+    return [hashed(line[a:b].encode("utf-8", "surrogatepass"), s) for s, a, b in (*index, *probe)], len(index)
+
+
+def _keys(least_chars: int, edits: int, buckets: int):
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple[list, list]] = {}
-        seen: set[bytes] = set()
+        seen: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        total = 0
+
+        def passed_on() -> pa.RecordBatch:
+            bucket, records = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(bucket, kind="stable")
+            bucket, records = bucket[order], records[order]
+            first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            parts = [x.tobytes() for x in np.split(records, first[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), pa.array(parts, pa.binary())], names=["bucket", "held"])
+
         for batch in batches:
-            for i in range(0, batch.num_rows, 100):
-                some = batch.slice(i, 100)
-                out_key, out_digest, out_probe = [], [], []
-                for text in some.column("text").to_pylist():
+            for i in range(0, batch.num_rows, 200):
+                lines, ids, values, counts, indexed = [], [], [], [], []
+                for text in batch.slice(i, 200).column("text").to_pylist():
                     for line in _split(text):
-                        n = len(line)
-                        if n < least_chars:
+                        if len(line) < least_chars:
                             continue
-                        digest = xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
-                        if digest in seen:
+                        a = _digest(line)[0]
+                        if a in seen:
                             continue
-                        if len(seen) > 500_000:  # only saves rows; equal ones are made distinct later
+                        if len(seen) > 500_000:  # this only saves records; equal ones are dropped where they meet
                             seen.clear()
-                        seen.add(digest)
-                        if n not in known:
-                            known[n] = (
-                                [(n * 16 + k, a, a + size) for k, (a, size) in enumerate(segments(n, edits))],
-                                [(m * 16 + k, a, a + size) for m in range(max(least_chars, n - edits), n + 1) for k, a, size in probes(n, m, edits)],
-                            )
-                        index, probe = known[n]
-                        hashed = xxhash.xxh3_64_intdigest
-                        out_key += [hashed(line[a:b].encode("utf-8", "surrogatepass"), s) for s, a, b in index]
-                        out_key += [hashed(line[a:b].encode("utf-8", "surrogatepass"), s) for s, a, b in probe]
-                        out_digest += [digest] * (len(index) + len(probe))
-                        out_probe += [False] * len(index) + [True] * len(probe)
-                keyed = pa.array(out_key, pa.uint64()).view(pa.int64())
-                yield pa.RecordBatch.from_arrays([keyed, pa.array(out_digest, pa.binary()), pa.array(out_probe, pa.bool_())], names=["key", "digest", "probe"])
+                        seen.add(a)
+                        k, n = _line_keys(line, known, least_chars, edits)
+                        lines.append(line)
+                        ids.append(a)
+                        values += k
+                        counts.append(len(k))
+                        indexed.append(n)
+                if not lines:
+                    continue
+                key, count = np.array(values, np.uint64), np.array(counts)
+                records = np.empty(len(key), _RECORD)
+                records["key"] = key & np.uint64(0xFFFFFFFF)
+                records["odd"] = np.repeat(odd_characters(lines), count)
+                # The lowest bit of a line's digest tells index (1) from probe (0).
+                nth = np.arange(len(key)) - np.repeat(np.cumsum(count) - count, count)
+                records["line"] = (np.repeat(np.array(ids, np.uint64), count) & ~np.uint64(1)) | (nth < np.repeat(indexed, count)).astype(np.uint64)
+                held.append((((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32), records))
+                total += len(key)
+                if total >= _GATHER:
+                    yield passed_on()
+                    held, total = [], 0
+        if held:
+            yield passed_on()
 
     return keys
 
 
+def meeting(records: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different lines that meet at a key, one of them at least by its index, and may be within ``edits``."""
+    records = records[np.lexsort((records["line"], records["key"]))]
+    new = np.concatenate([[True], (records["key"][1:] != records["key"][:-1]) | (records["line"][1:] != records["line"][:-1])])
+    records = records[new]
+    first = np.flatnonzero(np.concatenate([[True], records["key"][1:] != records["key"][:-1]]))
+    size = np.diff(np.concatenate([first, [len(records)]]))
+    group = np.repeat(np.arange(len(first)), size)
+    index = (records["line"] & np.uint64(1)) == 1
+    has = np.bincount(group[index], minlength=len(first)) > 0
+    at = np.flatnonzero(index & (size > 1)[group] & has[group])
+    found_a, found_b = [], []
+    many = size[group[at]]
+    ends = np.cumsum(many)
+    begin = 0
+    while begin < len(at):
+        stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + _PAIRS, side="right")))
+        n = many[begin:stop]
+        x = np.repeat(at[begin:stop], n)
+        y = np.repeat(first[group[at[begin:stop]]], n) + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+        near = np.bitwise_count(records["odd"][x] ^ records["odd"][y]) <= 2 * edits
+        a, b = records["line"][x[near]] >> np.uint64(1), records["line"][y[near]] >> np.uint64(1)
+        apart = a != b
+        found_a.append(np.minimum(a, b)[apart])
+        found_b.append(np.maximum(a, b)[apart])
+        begin = stop
+    if not found_a:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)], axis=1), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _meet(edits: int):
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Over rows sorted by bucket."""
+        bucket, parts = None, []
+
+        def made() -> pa.RecordBatch:
+            a, b = meeting(np.frombuffer(b"".join(parts), _RECORD), edits)
+            return pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], names=["a", "b"])
+
+        for batch in batches:
+            for b, held in zip(batch.column("bucket").to_pylist(), batch.column("held")):
+                if b != bucket:
+                    if parts:
+                        yield made()
+                    bucket, parts = b, []
+                parts.append(held.as_py())
+        if parts:
+            yield made()
+
+    return meet
+
+
+_LINES = "line long, h1 long, h2 long, text string"
+
+
 def _wanted_lines(least_chars: int):
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 texts = [x for t in batch.slice(i, 200).column("text").to_pylist() for x in set(_split(t)) if len(x) >= least_chars]
-                digests = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in texts]
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(texts, pa.string())], names=["digest", "line"])
+                both = [_digest(x) for x in texts]
+                columns = [pa.array([a >> 1 for a, _ in both], pa.int64()), _signed([a for a, _ in both]), _signed([b for _, b in both]), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _LINES.split(", ")])
 
     return lines
 
@@ -167,47 +287,60 @@ def _verifier(edits: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             far = [within(x, y, edits) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
-            out = batch.select(["a", "b"]).append_column("distance", pa.array(far, pa.int32()))
+            out = batch.select(["a1", "a2", "b1", "b2"]).append_column("distance", pa.array(far, pa.int32()))
             yield out.filter(pa.array([d is not None for d in far], pa.bool_()))
 
     return verify
 
 
+def _near(texts: DataFrame, n_lines: int, edits: int, least_chars: int) -> DataFrame:
+    buckets = max(16, n_lines * 15 // _BUCKET)
+    keys = texts.mapInArrow(_keys(least_chars, edits, buckets), "bucket int, held binary")
+    dealt = keys.repartition("bucket").sortWithinPartitions("bucket")
+    pairs = staged(dealt.mapInArrow(_meet(edits), "a long, b long").distinct(), "linepairs")
+    people = staged(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "lines")
+    # The lines themselves are only needed for candidates; a broadcast of a million numbers at most.
+    few = people.count() <= 1_000_000
+    lines = texts.mapInArrow(_wanted_lines(least_chars), _LINES)
+    lines = staged(lines.join(F.broadcast(people) if few else people, "line", "left_semi").dropDuplicates(["h1", "h2"]), "candidates")
+    whole = pairs.join(lines.toDF("a", "a1", "a2", "x"), "a").join(lines.toDF("b", "b1", "b2", "y"), "b")
+    return staged(whole.select("a1", "a2", "b1", "b2", "x", "y").mapInArrow(_verifier(edits), "a1 long, a2 long, b1 long, b2 long, distance int"), "near")
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("th"), F.col(f"`{text_col}`").alias("text")).filter("text is not null")
+
+
 def near_lines(docs: DataFrame, text_col: str = "text", edits: int = 2, least_chars: int = 32) -> DataFrame:
-    """All pairs of distinct lines at most ``edits`` apart: (a, b, distance), by the lines' 128-bit digests, each pair once."""
+    """All pairs of distinct lines at most ``edits`` apart: (a1, a2, b1, b2, distance), by the two halves of the lines'
+    128-bit digests, each pair once."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(f"`{text_col}`").alias("text")).filter("text is not null")
-    keys = texts.mapInArrow(_keys(least_chars, edits), _KEYS)
-    # Only keys that are both indexed and probed, by two different lines or more, can make pairs: the rest go first.
-    dealt = staged(keys.distinct(), "keys")
-    useful = dealt.groupBy("key").agg(F.max("probe").alias("p"), F.min("probe").alias("i"), F.min("digest").alias("x"), F.max("digest").alias("y")).filter("p and not i and x <> y").select("key")
-    met = staged(dealt.hint("merge").join(useful.hint("merge"), "key", "left_semi"), "met")
-    index, probe = met.filter("not probe").select("key", F.col("digest").alias("x")), met.filter("probe").select("key", F.col("digest").alias("y"))
-    found = index.hint("merge").join(probe.hint("merge"), "key").filter("x <> y")
-    pairs = staged(found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "linepairs")
-    people = staged(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "lines")
-    # The lines themselves are only needed for candidates.
-    few = people.count() <= 1_000_000
-    lines = texts.mapInArrow(_wanted_lines(least_chars), "digest binary, line string")
-    lines = staged(lines.join(F.broadcast(people) if few else people, "digest", "left_semi").dropDuplicates(["digest"]), "candidates")
-    whole = pairs.join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b")
-    return staged(whole.select("a", "b", "x", "y").mapInArrow(_verifier(edits), "a binary, b binary, distance int"), "near")
+    n = texts.select(F.sum(F.size(F.split("text", "\n", -1)))).first()[0] or 0
+    return _near(texts, n, edits, least_chars)
 
 
 def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 2, least_chars: int = 32) -> DataFrame:
-    """Lines to drop: (doc_id, th, place, near), near where only a line that differs stands earlier; and links by line."""
+    """Places of lines that have a copy or a near line: (doc_id, th, place, drop, near, links).
+
+    drop: an equal or near line stands earlier; near: only a near one does; links: near lines of the line. Documents of
+    equal ids are not told apart by order: neither drops a line of the other.
+    """
     small_batches(docs.sparkSession)
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("th"), F.col(f"`{text_col}`").alias("text"))
+    source = _source(docs, id_col, text_col)
     occurrences = staged(source.mapInArrow(_occurrences(least_chars), _OCCURRENCES), "occurrences")
-    near = near_lines(docs, text_col, edits, least_chars)
-    place = F.struct("doc_id", "th", "place")
-    first = occurrences.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    both = near.select("a", "b").union(near.select("b", "a")).toDF("digest", "other")
-    links = both.join(first.select(F.col("digest").alias("other"), F.col("first").alias("theirs")), "other")
-    links = links.groupBy("digest").agg(F.count("*").alias("links"), F.min("theirs").alias("theirs"))
-    known = first.join(links, "digest", "left").filter("n > 1 or links is not null")
-    marked = occurrences.hint("merge").join(known.hint("merge"), "digest").withColumn("own", place)
-    exact, close = F.col("own") > F.col("first"), F.coalesce(F.col("theirs") < F.col("own"), F.lit(False))
+    near = _near(source.select("text"), occurrences.count(), edits, least_chars)
+    key = ["h1", "h2"]
+    first = occurrences.groupBy(*key).agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"))
+    both = near.select("a1", "a2", "b1", "b2").union(near.select("b1", "b2", "a1", "a2")).toDF("h1", "h2", "o1", "o2")
+    # Where the near lines of a line first stand; only lines that have any are looked up.
+    linked = both.select(F.col("o1").alias("h1"), F.col("o2").alias("h2")).distinct()
+    stands = occurrences.join(linked, key).groupBy(*key).agg(F.min(F.struct("doc_id", "place")).alias("theirs")).toDF("o1", "o2", "theirs")
+    links = staged(both.join(stands, ["o1", "o2"]).groupBy(*key).agg(F.count("*").alias("links"), F.min("theirs").alias("theirs")), "linelinks")
+    known = first.filter("n > 1").join(links, key, "full")
+    marked = occurrences.hint("merge").join(known.hint("merge"), key)
+    exact = F.col("again") | F.coalesce(F.col("doc_id") > F.col("first_doc"), F.lit(False))
+    close = F.coalesce(F.col("theirs") < F.struct("doc_id", "place"), F.lit(False))
     return marked.select("doc_id", "th", "place", (exact | close).alias("drop"), (close & ~exact).alias("near"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
@@ -219,31 +352,34 @@ def _without(line_col: str = "text") -> Column:
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, edits: int, least_chars: int) -> DataFrame:
-    """(__doc, __text, n_exact, n_near, n_links, text without dropped lines)"""
+    """(__doc, __id, __text, places, n_exact, n_near, n_links)"""
     decided = line_decisions(docs, id_col, text_col, edits, least_chars)
-    by_doc = decided.distinct().groupBy("doc_id", "th").agg(
+    # Rows equal in id and text are one document here, whose places come several times.
+    by_place = decided.groupBy("doc_id", "th", "place").agg(F.max("drop").alias("drop"), F.max("near").alias("near"), F.max("links").alias("links"))
+    by_doc = by_place.groupBy("doc_id", "th").agg(
         F.collect_list(F.when(F.col("drop"), F.col("place"))).alias("places"),
         F.count(F.when(F.col("drop") & ~F.col("near"), 1)).alias("n_exact"),
         F.count(F.when(F.col("near"), 1)).alias("n_near"),
         F.sum("links").alias("n_links"),
     )
-    names = [f"`{c}`" for c in docs.columns]
-    keyed = docs.select(F.struct(*names).alias("__doc"), F.col(f"`{id_col}`").cast("long").alias("__id"), F.col(f"`{text_col}`").alias("__text"))
-    match = F.col("__id").eqNullSafe(F.col("doc_id")) & F.xxhash64("__text").eqNullSafe(F.col("th"))
-    return keyed.join(by_doc.withColumn("places", F.when(F.size("places") > 0, F.col("places"))), match, "left")
+    by_doc = by_doc.withColumn("places", F.when(F.size("places") > 0, F.col("places")))
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    keyed = docs.select(F.struct(F.col(f"`{id_col}`"), *[F.col(f"`{c}`") for c in rest]).alias("__doc"), F.col(f"`{text_col}`").alias("__text"))
+    keyed = keyed.withColumn("__key", F.coalesce(F.col("__doc")[id_col].cast("long"), F.lit(-(2**63))))
+    return keyed.join(by_doc, (F.col("__key") == F.col("doc_id")) & (F.xxhash64("__text") == F.col("th")), "left")
 
 
 def deduplicated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 2, least_chars: int = 32) -> DataFrame:
     """What each document keeps: doc_id, n_lines, n_exact and n_near (lines dropped), n_links (near lines of its lines), text.
 
     Lines end at line feeds; the text without its dropped lines keeps all others as they are. A null text stays null and
-    has no lines; an empty one has none either. Rows equal in id and text are one document that is there several times:
-    they get the same result. Null ids come first. An empty table gives no rows. Other columns are ignored.
+    has no lines; an empty one has none either. Documents of equal ids never drop lines of each other, so repeated rows
+    get the same result. Null ids come first. An empty table gives no rows. Other columns are ignored.
     """
-    out = _joined(docs, id_col, text_col, edits, least_chars)
+    out = _joined(docs.select(f"`{id_col}`", f"`{text_col}`"), id_col, text_col, edits, least_chars)
     n_lines = F.when(F.coalesce(F.col("__text"), F.lit("")) == "", 0).otherwise(F.size(F.split("__text", "\n", -1)))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return out.select(F.col("__id").alias("doc_id"), n_lines.cast("long").alias("n_lines"), zero("n_exact"), zero("n_near"), zero("n_links"), _without("__text").alias("text"))
+    return out.select(F.col("__doc")[id_col].cast("long").alias("doc_id"), n_lines.cast("long").alias("n_lines"), zero("n_exact"), zero("n_near"), zero("n_links"), _without("__text").alias("text"))
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 2, least_chars: int = 32) -> DataFrame:
@@ -252,6 +388,7 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     ``n_chars``, where there is such a column, counts the new text.
     """
     out = _joined(docs, id_col, text_col, edits, least_chars).withColumn("__new", _without("__text"))
-    out = out.filter("__new is null or places is null or trim(both '\n' from __new) <> ''")
-    columns = [F.col("__new") if c == text_col else F.when(F.col("places").isNull(), F.col("__doc")[c]).otherwise(F.length("__new").cast("long")) if c == "n_chars" else F.col("__doc")[c] for c in docs.columns]
+    out = out.filter("places is null or trim(both '\n' from __new) <> ''")
+    at = F.col("__doc")
+    columns = [F.col("__new") if c == text_col else F.when(F.col("places").isNull(), at[c]).otherwise(F.length("__new").cast("long")) if c == "n_chars" else at[c] for c in docs.columns]
     return out.select(*[x.alias(c) for x, c in zip(columns, docs.columns)])
