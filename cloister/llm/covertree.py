@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged
+from .common import batches_of, small_batches, staged
 from .components import components, local_components
 
 #: Radii of the levels; the last level holds the vectors themselves.
@@ -339,7 +339,8 @@ def near_vectors(
         tasks = pairs.join(left, ["ca", "sa"]).join(blocks.select(F.col("cell").alias("cb"), F.col("sub").alias("sb"), F.col("held").alias("hb")), ["cb", "sb"])
         tasks = tasks.withColumn("same", F.expr("ca = cb and sa = sb")).select("ca", "sa", "cb", "sb", "same", "ha", "hb")
         tasks = tasks.repartition("ca", "sa", "cb", "sb").select("same", "ha", "hb")
-        linked = staged(tasks.mapInArrow(_linker(cosine), "row long, links long, other long"), "linked")
+        with batches_of(spark, 4):
+            linked = staged(tasks.mapInArrow(_linker(cosine), "row long, links long, other long"), "linked")
     else:
         linked = spark.createDataFrame([], "row long, links long, other long")
     labels = staged(components(linked.filter("other >= 0").select("row", "other")), "labels")

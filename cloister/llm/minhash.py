@@ -7,8 +7,9 @@ estimates the similarity. Candidates whose estimate lies six standard errors und
 confirmed on full sets.
 
 Buckets are never expanded into all pairs. First every class is compared with the smallest of the buckets it is in; what
-that links becomes a component. Only classes of one bucket that are still in different components are paired after
-that: first the pair of each two components that looks most alike, then, where that didn't link them, all others.
+that links becomes a component. Classes of buckets that still hold several components are then put in blocks of bounded
+size, and each two blocks that share such a bucket are one task, which estimates and counts within arrays and returns the
+components it finds as stars. So every likely pair of a bucket is confirmed or lies within one component.
 At similarity 0.75 a pair misses all 32 bands with probability 5e-6.
 """
 
@@ -22,10 +23,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, small_batches, staged
-from .components import components
+from .common import batches_of, discard, small_batches, staged
+from .components import components, local_components
 
 MINIMA, BANDS, LANE_BITS, LONGS = 128, 32, 4, 8
+#: Classes and shingles of a block in the second round, about.
+BLOCK_ROWS, BLOCK_SHINGLES = 256, 500_000
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 2**64)
@@ -162,6 +165,73 @@ def _confirmer(percent: int):
     return confirm
 
 
+def lane_estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Corrected similarity of every row of x with every row of y, from packed lanes."""
+    ones = np.uint64(sum(1 << (LANE_BITS * k) for k in range(64 // LANE_BITS)))
+    differ = np.zeros((len(x), len(y)), np.int64)
+    for k in range(LONGS):
+        z = x[:, k, None] ^ y[None, :, k]
+        z |= z >> np.uint64(1)
+        z |= z >> np.uint64(2)
+        differ += np.bitwise_count(z & ones)
+    chance = 2.0**-LANE_BITS
+    return (1 - differ / MINIMA - chance) / (1 - chance)
+
+
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray], columns: int = 1 << 14) -> np.ndarray:
+    """How many hashes each set of x shares with each set of y: products of 0/1 matrices, some hashes at a time."""
+    vx, vy = np.concatenate(x), np.concatenate(y)
+    both = np.intersect1d(vx, vy)
+    rx, ry = np.repeat(np.arange(len(x)), [len(s) for s in x]), np.repeat(np.arange(len(y)), [len(s) for s in y])
+    out = np.zeros((len(x), len(y)))
+    if not len(both):
+        return out
+
+    def placed(v: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(both, v), len(both) - 1)
+        there = both[at] == v
+        at, r = at[there], r[there]
+        order = np.argsort(at, kind="stable")
+        return at[order], r[order]
+
+    (ax, rx), (ay, ry) = placed(vx, rx), placed(vy, ry)
+    for low in range(0, len(both), columns):
+        n = min(columns, len(both) - low)
+        parts = []
+        for at, r, rows in ((ax, rx, len(x)), (ay, ry, len(y))):
+            i, j = np.searchsorted(at, [low, low + n])
+            m = np.zeros((rows, n), np.float32)
+            m[r[i:j], at[i:j] - low] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _block_linker(percent: int, near: float):
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def read(block: pa.Scalar) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+            v = block.values
+            lanes = v.field("lanes").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(v), LONGS)
+            return v.field("row").to_numpy(), v.field("component").to_numpy(), [np.frombuffer(h.as_buffer(), np.uint64) for h in v.field("held")], lanes
+
+        for batch in batches:
+            for p, q in zip(batch.column("p"), batch.column("q")):
+                (rx, cx, sx, lx), (ry, cy, sy, ly) = read(p), read(q)
+                likely = (lane_estimates(lx, ly) >= near) & (cx[:, None] != cy[None, :])
+                i, j = np.flatnonzero(likely.any(axis=1)), np.flatnonzero(likely.any(axis=0))
+                if not len(i):
+                    continue
+                shared = shared_counts([sx[k] for k in i], [sy[k] for k in j])
+                total = np.array([len(sx[k]) for k in i])[:, None] + np.array([len(sy[k]) for k in j])[None, :]
+                a, b = np.nonzero(likely[np.ix_(i, j)] & (100 * shared >= percent * (total - shared)))
+                a, b = rx[i[a]], ry[j[b]]
+                # The components that these links make, as stars: results grow with the classes, not with the links.
+                ids, low = local_components(a, b)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[ids != low], pa.int64()), pa.array(low[ids != low], pa.int64())], names=["a", "b"])
+
+    return link
+
+
 def _same(a: str, b: str, keys: list[str]) -> Column:
     out = F.lit(True)
     for k in keys:
@@ -177,7 +247,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets are linked with nothing. Rows with equal ids are documents of their own; a null id is never the smallest unless
     a group has no other. An empty table gives no rows. Other columns are ignored.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
     signed = staged(source.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_signer(words), _SIGNED), "signed")
     full = signed.filter("n_shingles > 0")
@@ -213,32 +284,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = confirmed(likely(best))
     labels = staged(components(links), "labels")
 
-    def apart(labels: DataFrame) -> DataFrame:
-        """Likely pairs of classes that share a bucket but no component, with their components."""
-        at = held.select("band", "key", "row").join(labels.withColumnRenamed("id", "row"), "row", "left")
-        at = staged(at.withColumn("component", F.coalesce("component", "row")), "apart")
-        mixed = at.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-        there = at.join(mixed.select("band", "key"), ["band", "key"]).join(lanes, "row")
-        a = there.select("band", "key", F.col("row").alias("a"), F.col("component").alias("ca"), F.col("lanes").alias("la"))
-        b = there.select("band", "key", F.col("row").alias("b"), F.col("component").alias("cb"), F.col("lanes").alias("lb"))
-        est = estimate(F.col("la"), F.col("lb"))
-        pairs = a.join(b, (a["band"] == b["band"]) & (a["key"] == b["key"]) & (F.col("ca") < F.col("cb")) & (est >= near))
-        return staged(pairs.select("a", "b", "ca", "cb", est.alias("est")).distinct(), "pairs")
-
-    pairs = apart(labels)
-    if not pairs.isEmpty():
-        one = pairs.groupBy("ca", "cb").agg(F.max(F.struct("est", "a", "b")).alias("m")).select("m.a", "m.b")
-        tried = staged(one, "tried")
-        more = confirmed(tried)
-        labels = staged(components(links.union(more)), "labels")
-        rest = pairs.join(tried, ["a", "b"], "left_anti").select("a", "b")
-        for side in ("a", "b"):
-            rest = rest.join(labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")), side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
-        rest = staged(rest.filter("ca <> cb").select("a", "b"), "rest")
-        if not rest.isEmpty():
-            last = confirmed(rest)
-            if not last.isEmpty():
-                labels = staged(components(links.union(more).union(last)), "labels")
+    # Then: classes of buckets that still hold several components, in blocks; pairs of blocks that share such a bucket.
+    at = held.join(labels.withColumnRenamed("id", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+    mixed = at.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("band", "key")
+    there = staged(at.join(mixed, ["band", "key"]), "apart")
+    if not there.isEmpty():
+        rows = there.groupBy("row").agg(F.min("center").alias("anchor"), F.min("component").alias("component")).join(signed.select("row", "n_shingles"), "row")
+        sizes = rows.groupBy("anchor").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("subs"))
+        rows = staged(rows.join(sizes, "anchor").withColumn("sub", F.pmod(F.xxhash64("row"), "subs")).select("row", "anchor", "sub", "component"), "blocked")
+        places = there.select("band", "key", "row").join(rows, "row").groupBy("band", "key", "anchor", "sub").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        p, q = (places.select("band", "key", *[F.col(c).alias(f"{side}_{c}") for c in ("anchor", "sub", "x", "y")]) for side in "pq")
+        several = (F.col("p_x") != F.col("p_y")) | (F.col("q_x") != F.col("q_y")) | (F.col("p_x") != F.col("q_x"))
+        ordered = (F.col("p_anchor") < F.col("q_anchor")) | ((F.col("p_anchor") == F.col("q_anchor")) & (F.col("p_sub") <= F.col("q_sub")))
+        met = p.join(q, (p["band"] == q["band"]) & (p["key"] == q["key"]) & ordered & several).select("p_anchor", "p_sub", "q_anchor", "q_sub").distinct()
+        met = staged(met, "met")
+        items = F.struct("row", "component", "held", "lanes")
+        blocks = staged(rows.join(sets, "row").join(lanes, "row").groupBy("anchor", "sub").agg(F.collect_list(items).alias("items")), "blocks")
+        tasks = met.join(blocks.toDF("p_anchor", "p_sub", "p"), ["p_anchor", "p_sub"]).join(blocks.toDF("q_anchor", "q_sub", "q"), ["q_anchor", "q_sub"])
+        tasks = tasks.repartition("p_anchor", "p_sub", "q_anchor", "q_sub").select("p", "q")
+        with batches_of(spark, 4):
+            more = staged(tasks.mapInArrow(_block_linker(percent, near), "a long, b long"), "more")
+        if not more.isEmpty():
+            labels = staged(components(links.union(more)), "labels")
     discard(held)
 
     grouped = member.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
