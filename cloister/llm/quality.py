@@ -25,11 +25,16 @@ STATISTICS = (
 )
 
 
-def statistics(text: Column) -> Column:
-    """All statistics of a text as one array of doubles; 0 where a share has nothing to divide by."""
+def with_statistics(df: DataFrame, text: Column, name: str = "stats") -> DataFrame:
+    """``df`` with all statistics of a text as one array of doubles; 0 where a share has nothing to divide by.
+
+    Words and lines are columns of their own first, so that a text is split once and not for every statistic.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns]
     t = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(t, GAP, -1), lambda w: w != "")
-    lines = F.filter(F.split(t, "\n", -1), lambda x: x != "")
+    cut = df.select(*kept, t.alias("__t"), F.split(t, GAP, -1).alias("__w"), F.split(t, "\n", -1).alias("__l"))
+    cut = cut.select(*kept, "__t", F.array_remove("__w", "").alias("__w"), F.array_remove("__l", "").alias("__l"))
+    t, words, lines = F.col("__t"), F.col("__w"), F.col("__l")
 
     def number(x: Column) -> Column:
         return x.cast("double")
@@ -45,7 +50,8 @@ def statistics(text: Column) -> Column:
         number(n),
         number(w),
         number(k),
-        share(F.aggregate(words, F.lit(0), lambda s, x: s + F.length(x)), w),
+        # Characters of words: all but white space, which is what splits them.
+        share(n - chars_of(GAP), w),
         share(n, k),
         share(F.size(F.array_distinct(words)), w),
         share(F.size(F.array_distinct(lines)), k),
@@ -60,7 +66,7 @@ def statistics(text: Column) -> Column:
         share(F.size(F.filter(words, lambda x: F.length(x) == 1)), w),
         share(F.size(F.filter(lines, lambda x: F.length(x) > 400)), k),
     ]
-    return F.array(*parts)
+    return cut.select(*kept, F.array(*parts).alias(name))
 
 
 Rule = tuple[tuple[int, bool, float], ...]
@@ -209,7 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # The bound makes the broadcast's size known: two numbers for each of at most `train_rows` ids.
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", statistics(F.col("text")).alias("stats"))
+    rows = with_statistics(texts.join(F.broadcast(sample), "doc_id"), F.col("text")).select("doc_id", "label", "stats")
     rows = rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
     stats = np.array(rows["stats"].tolist(), dtype=float).reshape(-1, len(STATISTICS))
     return fit_rules(stats, rows["label"].to_numpy(), **options)
@@ -222,7 +228,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     their own. An empty table gives no rows. Other columns of either table are ignored.
     """
     model = train(docs, labels, id_col, text_col, **options)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), statistics(F.col(f"`{text_col}`")).alias("stats"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    rows = with_statistics(rows, F.col("text"))
     scored = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.column(F.col("stats")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
@@ -231,5 +238,5 @@ def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """The documents that the classifier accepts, with all their columns."""
     model = train(docs, labels, id_col, text_col, **options)
     names = [f"`{c}`" for c in docs.columns]
-    rows = docs.select(F.struct(*names).alias("__doc"), statistics(F.col(f"`{text_col}`")).alias("__stats"))
+    rows = with_statistics(docs.select(F.struct(*names).alias("__doc")), F.col("__doc")[text_col], "__stats")
     return rows.filter(model.column(F.col("__stats")) >= threshold).select("__doc.*")
