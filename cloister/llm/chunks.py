@@ -98,7 +98,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     again = staged(repeated_chunks(docs, id_col, text_col), "repeated")
     place = F.struct("doc_id", "row", "start")
-    first = again.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    # Written first, so that the join's two sides are plain exchanges, of which Spark can split a chunk that is everywhere.
+    first = staged(again.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1"), "first")
     marked = again.hint("merge").join(first.hint("merge"), ["h1", "h2"])
     marked = marked.withColumn("later", (F.col("first.row") != F.col("row")) | (F.col("first.start") != F.col("start")))
     # Chunks in a row of one document make a run; a document's chunks are one text's.
