@@ -10,7 +10,7 @@ from ..config import TAC_DIGITS
 
 def _significant(x: Column, figures: int) -> Column:
     factor = F.pow(F.lit(10.0), F.lit(figures - 1) - F.floor(F.log10(F.abs(x))))
-    return F.when(x == 0, F.lit(0.0)).otherwise(F.rint(x * factor) / factor)
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.try_divide(F.rint(x * factor), factor))
 
 
 def sig_round(x: Column, figures: int) -> Column:
