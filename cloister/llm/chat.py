@@ -97,32 +97,29 @@ def ordered(calls: DataFrame, depends: DataFrame, rounds: int = 64) -> DataFrame
     calls: conv_id, call_id, position; depends: conv_id, call_id, needs. A call is ready at its own position or, if later,
     at that of what it needs, some hops after it. Logs whose calls need only earlier ones take no round; each round moves
     calls behind what they need, and those that still move after ``rounds`` rounds depend on themselves: they keep their
-    position and are marked.
+    position and are marked, and so are those that need them.
     """
-    state = staged(calls.groupBy("conv_id", "call_id").agg(F.min("position").alias("position")).withColumn("key", F.struct(F.col("position").alias("ready"), F.lit(0).alias("hops"))), "calls")
+    state = staged(calls.groupBy("conv_id", "call_id").agg(F.min("position").alias("position")).withColumn("key", F.struct(F.col("position").alias("ready"), F.lit(0).alias("hops"))).withColumn("last", F.lit(-1)), "calls")
     edges = depends.distinct()
-    moved = None
-    for _ in range(rounds):
+    settled = False
+    for k in range(rounds):
         need = state.select(F.col("conv_id").alias("c"), F.col("call_id").alias("needs"), F.col("key").alias("other"))
         late = edges.join(need, (F.col("conv_id").eqNullSafe(F.col("c"))) & (edges["needs"] == need["needs"])).select("conv_id", "call_id", F.struct(F.col("other.ready").alias("ready"), (F.col("other.hops") + 1).alias("hops")).alias("least"))
         late = late.groupBy("conv_id", "call_id").agg(F.max("least").alias("least"))
         late = late.toDF("c", "i", "least")
         joined = state.join(late, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("i")), "left")
         behind = F.col("least").isNotNull() & (F.col("least.ready") > F.col("key.ready")) | ((F.col("least.ready") == F.col("key.ready")) & (F.col("least.hops") > F.col("key.hops")))
-        stepped = joined.select("conv_id", "call_id", "position", F.when(behind, F.col("least")).otherwise(F.col("key")).alias("key"), F.coalesce(behind, F.lit(False)).alias("moved"))
-        stepped = staged(stepped, "ordered")
-        moved = stepped.filter("moved").select("conv_id", "call_id").withColumn("cycle", F.lit(True))
-        state = stepped.drop("moved")
-        if moved.isEmpty():
-            moved = None
+        behind = F.coalesce(behind, F.lit(False))
+        stepped = joined.select("conv_id", "call_id", "position", F.when(behind, F.col("least")).otherwise(F.col("key")).alias("key"), F.when(behind, k).otherwise(F.col("last")).alias("last"))
+        state = staged(stepped, "ordered")
+        if state.filter(F.col("last") == k).isEmpty():
+            settled = True
             break
-    out = state.select("conv_id", "call_id", "position", F.col("key.ready").alias("ready"), F.col("key.hops").cast("int").alias("hops"))
-    if moved is None:
-        return out.select("conv_id", "call_id", "ready", "hops", F.lit(False).alias("cycle"))
-    moved = moved.toDF("c", "i", "cycle")
-    out = out.join(moved, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("i")), "left")
+    # What moved in the second half of all rounds is on a cycle, or needs what is.
+    cycle = F.lit(False) if settled else F.col("last") >= rounds // 2
+    out = state.select("conv_id", "call_id", "position", F.col("key.ready").alias("ready"), F.col("key.hops").cast("int").alias("hops"), cycle.alias("cycle"))
     ready, hops = F.when(F.col("cycle"), F.col("position")).otherwise(F.col("ready")), F.when(F.col("cycle"), F.lit(0)).otherwise(F.col("hops"))
-    return out.select("conv_id", "call_id", ready.alias("ready"), hops.alias("hops"), F.coalesce("cycle", F.lit(False)).alias("cycle"))
+    return out.select("conv_id", "call_id", ready.alias("ready"), hops.alias("hops"), "cycle")
 
 
 def _checker(schemas: dict[str, dict]):
