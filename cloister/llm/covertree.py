@@ -161,13 +161,15 @@ def traverse(x: np.ndarray, tx: dict, y: np.ndarray, ty: dict, same: bool, cosin
                     ly[rb] += wx[ra].sum()
                     stars.append((ra, np.full(len(ra), rb[0])))
                     stars.append((np.full(len(rb), ra[0]), rb))
-                if same:
-                    for a in np.unique(ca[(ca == cb) & (2 * reach <= 2 * (eps - _SLACK)) & (reach > 0)]).tolist():
+                if same:  # a node whose vectors all lie within the threshold of each other
+                    inside = (ca == cb) & (reach <= eps - _SLACK)
+                    for a in ca[inside].tolist():
                         a0, a1 = tx["under"][level][0][a], tx["under"][level][1][a]
-                        ra = tx["rows"][a0:a1]
-                        lx[ra] += wx[ra].sum() - wx[ra]
-                        stars.append((ra, np.full(len(ra), ra[0])))
-                    whole |= (ca == cb) & (2 * reach <= 2 * (eps - _SLACK))
+                        if a1 - a0 > 1:
+                            ra = tx["rows"][a0:a1]
+                            lx[ra] += wx[ra].sum() - wx[ra]
+                            stars.append((ra, np.full(len(ra), ra[0])))
+                    whole |= inside
                 ca, cb = ca[~whole], cb[~whole]
                 keep_a.append(ca)
                 keep_b.append(cb)
