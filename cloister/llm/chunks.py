@@ -90,8 +90,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     The default is half of what 50 words usually take, as the chunks at a passage's ends differ from place to place.
 
-    One row per passage and place: doc_id, start and length (bytes of the UTF-8 text), n_chunks, first_doc_id (the first
-    document that has the passage's first chunk), digest (of that chunk, hexadecimal), repeat (whether any of its chunks
+    One row per passage and place: doc_id, start and length (bytes of the UTF-8 text), n_chunks, first_doc_id (the smallest
+    id that has any of its chunks), digest (of its first chunk, hexadecimal), repeat (whether any of its chunks
     stands earlier, by id and place; False for the place that keeps the passage). A document that shares nothing has no
     row. Null and empty texts have no chunks. Rows with equal ids are documents of their own; null ids come first. An
     empty table gives no rows. Other columns are ignored.
@@ -110,8 +110,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.min("start").cast("long").alias("start"),
         F.sum("length").cast("long").alias("length"),
         F.count("*").alias("n_chunks"),
-        F.min(F.struct("nth", "first_doc_id", "h1", "h2")).alias("head"),
+        F.min("first_doc_id").alias("first_doc_id"),
+        F.min(F.struct("nth", "h1", "h2")).alias("head"),
         F.max("later").alias("repeat"),
     )
     digest = F.lower(F.concat(F.lpad(F.hex("head.h1"), 16, "0"), F.lpad(F.hex("head.h2"), 16, "0")))
-    return runs.filter(F.col("length") >= least_bytes).select("doc_id", "start", "length", "n_chunks", F.col("head.first_doc_id").alias("first_doc_id"), digest.alias("digest"), "repeat")
+    return runs.filter(F.col("length") >= least_bytes).select("doc_id", "start", "length", "n_chunks", "first_doc_id", digest.alias("digest"), "repeat")
