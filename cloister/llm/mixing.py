@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import GAP, staged, word_count
+from .common import WORD, staged, word_count
 
 #: Multipliers of the permutations: primes, of which the first that doesn't divide the number of blocks is used.
 _PRIMES = (7368787, 15485863, 32452843, 49979687, 67867967, 86028121)
@@ -168,12 +168,12 @@ def mixed_documents(
     turns = parts.groupBy("row", "turn").agg(F.sum("length").alias("__taken"), F.sort_array(F.collect_list(F.struct("start", "length"))).alias("__parts"))
     whole = rows.select("row", F.col("size").alias("__size"))
     found = turns.join(whole, "row").withColumnRenamed("row", "__row")
-    # Words with the white space that follows them; what stands before the first word goes with it.
-    words = F.split(at[text_col], r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", -1)
-    lead = at[text_col].rlike("^" + GAP).cast("int")
-    some = F.array_join(F.flatten(F.transform("__parts", lambda p: F.slice(words, (p["start"] + 1 + lead).cast("int"), p["length"].cast("int")))), "")
-    text = F.when(F.col("__taken") == F.col("__size"), at[text_col]).otherwise(some)
-    joined = spark_rows.join(found, "__row").withColumn("__text", text)
+    joined = spark_rows.join(found, "__row")
+    # Words with the white space after them. The generator keeps Spark from cutting the text anew for every part.
+    words = F.regexp_extract_all(at[text_col], F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
+    joined = joined.withColumn("__words", F.explode(F.array(F.when(F.col("__taken") < F.col("__size"), words))))
+    some = F.array_join(F.flatten(F.transform("__parts", lambda p: F.slice("__words", (p["start"] + 1).cast("int"), p["length"].cast("int")))), "")
+    joined = joined.withColumn("__text", F.when(F.col("__taken") == F.col("__size"), at[text_col]).otherwise(some))
     out = []
     for c in docs.columns:
         kept = F.col("__text") if c == text_col else F.length("__text").cast("long") if c == "n_chars" else at[c]
