@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged
+from .common import batches_of, small_batches, staged
 
 
 def within(a: str, b: str, edits: int) -> int | None:
@@ -95,9 +95,9 @@ def probes(length: int, other: int, edits: int) -> list[tuple[int, int, int]]:
 _OCCURRENCES = "doc_id long, th long, place int, h1 long, h2 long, again boolean"
 _RECORD = np.dtype([("key", "<u4"), ("odd", "<u4"), ("line", "<u8")])
 #: Records of one bucket of keys, about; records that a task gathers before it passes them on.
-_BUCKET, _GATHER = 500_000, 1_500_000
+_BUCKET, _GATHER = 500_000, 800_000
 #: Pairs looked at together.
-_PAIRS = 1 << 21
+_PAIRS = 1 << 19
 
 
 def _split(text: str | None) -> list[str]:
@@ -297,7 +297,9 @@ def _near(texts: DataFrame, n_lines: int, edits: int, least_chars: int) -> DataF
     buckets = max(16, n_lines * 15 // _BUCKET)
     keys = texts.mapInArrow(_keys(least_chars, edits, buckets), "bucket int, held binary")
     dealt = keys.repartition("bucket").sortWithinPartitions("bucket")
-    pairs = staged(dealt.mapInArrow(_meet(edits), "a long, b long").distinct(), "linepairs")
+    # Rows are packed arrays here, of some 100 KB each.
+    with batches_of(texts.sparkSession, 64):
+        pairs = staged(dealt.mapInArrow(_meet(edits), "a long, b long").distinct(), "linepairs")
     people = staged(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "lines")
     # The lines themselves are only needed for candidates; a broadcast of a million numbers at most.
     few = people.count() <= 1_000_000
