@@ -129,8 +129,19 @@ def _cutter(capacity: int, end_id: int, path: str | None):
     return cut
 
 
+#: Lengths in an exact complement, at most, and the smallest of a pair or triple: what the plans differ in.
+_VARIANTS = ((3, 1), (2, 1), (1, 1), (3, 64), (2, 64), (3, 128), (2, 128), (3, 200), (2, 200), (3, 256), (2, 300))
+
+
 def plan_packing(counts: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
-    """(how many sequences, lengths in each) that use up ``counts``: exact complements first, then best fit."""
+    """(how many sequences, lengths in each) that use up ``counts``: the best of the plans that fill gaps exactly with up to
+    three, two or one other lengths. Triples use up the small lengths early, which helps where there are many of them."""
+    plans = [_plan(counts, capacity, most, least) for most, least in _VARIANTS]
+    return min(plans, key=lambda plan: sum(n for n, _ in plan))
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int, least: int = 1) -> list[tuple[int, list[int]]]:
+    """Exact complements of up to ``most`` lengths, in pairs and triples none under ``least``, first, then best fit."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -148,9 +159,9 @@ def plan_packing(counts: dict[int, int], capacity: int) -> list[tuple[int, list[
     def enough(lengths: list[int]) -> bool:
         return all(left[x] >= lengths.count(x) for x in lengths)
 
-    def pair(total: int, most: int, held: list[int]) -> list[int] | None:
+    def pair(total: int, longest: int, held: list[int]) -> list[int] | None:
         """The two lengths of that sum, the longer as long as can be, that are there beside the held ones."""
-        high = min(most, total - 1)
+        high = min(longest, total - least)
         low = (total + 1) // 2
         if high < low:
             return None
@@ -168,9 +179,9 @@ def plan_packing(counts: dict[int, int], capacity: int) -> list[tuple[int, list[
             continue
         while left[a] and gap <= a and enough([a, gap]):
             take([a, gap])
-        while left[a] and (found := pair(gap, a, [a])):
+        while most > 1 and left[a] and (found := pair(gap, a, [a])):
             take([a, *found])
-        for b in range(min(a, gap - 2), (gap + 2) // 3 - 1, -1):
+        for b in range(min(a, gap - 2), (gap + 2) // 3 - 1, -1) if most > 2 else ():
             while left[a] and left[b] and enough([a, b]) and (found := pair(gap - b, b, [a, b])):
                 take([a, b, *found])
             if not left[a]:
