@@ -252,8 +252,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
     signed = staged(source.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_signer(words), _SIGNED), "signed")
     full = signed.filter("n_shingles > 0")
-    classes = full.groupBy("d1", "d2", "n_shingles").agg(F.min("row").alias("rep"))
-    member = staged(full.select("row", "doc_id", "d1", "d2", "n_shingles").join(classes, ["d1", "d2", "n_shingles"]).select("row", "doc_id", "rep"), "members")
+    # Aggregates that are joined back are written first: then both sides are plain exchanges, of which Spark can split hot keys.
+    classes = staged(full.groupBy("d1", "d2", "n_shingles").agg(F.min("row").alias("rep")), "classes")
+    member = staged(full.select("row", "doc_id", "d1", "d2", "n_shingles").hint("merge").join(classes.hint("merge"), ["d1", "d2", "n_shingles"]).select("row", "doc_id", "rep"), "members")
     reps = signed.join(member.filter("row = rep").select("row"), "row", "left_semi")
 
     rows = reps.select("row", F.posexplode("bands").alias("band", "key"))
@@ -309,8 +310,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     discard(held)
 
     grouped = member.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    lowest = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("m"))
-    grouped = grouped.join(lowest.select("component", "component_id", F.col("m.row").alias("keeper")), "component")
+    lowest = grouped.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("m"))
+    lowest = staged(lowest.select("component", F.col("m.doc_id").alias("component_id"), F.col("m.row").alias("keeper")), "lowest")
+    grouped = grouped.hint("merge").join(lowest.hint("merge"), "component")
     out = signed.select("row", "doc_id", "n_shingles", "th").join(grouped.select("row", "component_id", "keeper"), "row", "left")
     own = F.when(F.col("keeper").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), (F.coalesce("keeper", "row") == F.col("row")).alias("first"), "th")
