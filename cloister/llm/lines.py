@@ -339,7 +339,8 @@ def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     linked = both.select(F.col("o1").alias("h1"), F.col("o2").alias("h2")).distinct()
     stands = occurrences.join(linked, key).groupBy(*key).agg(F.min(F.struct("doc_id", "place")).alias("theirs")).toDF("o1", "o2", "theirs")
     links = staged(both.join(stands, ["o1", "o2"]).groupBy(*key).agg(F.count("*").alias("links"), F.min("theirs").alias("theirs")), "linelinks")
-    known = first.filter("n > 1").join(links, key, "full")
+    # Written first, so that the join's sides are plain exchanges, of which Spark can split a line that is everywhere.
+    known = staged(first.filter("n > 1").join(links, key, "full"), "known")
     marked = occurrences.hint("merge").join(known.hint("merge"), key)
     exact = F.col("again") | F.coalesce(F.col("doc_id") > F.col("first_doc"), F.lit(False))
     close = F.coalesce(F.col("theirs") < F.struct("doc_id", "place"), F.lit(False))
