@@ -295,7 +295,8 @@ def near_vectors(
     sound = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     # -0.0 and 0.0 are equal.
     good = rows.filter(F.coalesce(sound, F.lit(False))).withColumn("embedding", F.transform(v, lambda x: x + F.lit(0.0))).withColumn("digest", F.sha2(F.to_json("embedding"), 256))
-    classes = good.groupBy("digest").agg(F.min("row").alias("rep"), F.count("*").alias("copies"))
+    # Aggregates that are joined back are written first: then both sides are plain exchanges, of which Spark can split hot keys.
+    classes = staged(good.groupBy("digest").agg(F.min("row").alias("rep"), F.count("*").alias("copies")), "digests")
     member = staged(good.select("row", "vec_id", "digest").join(classes, "digest").drop("digest"), "members")
     reps = member.filter("row = rep").select("row", "copies").join(rows.select("row", "embedding"), "row").withColumn("dim", F.size("embedding"))
     reps = staged(reps, "classes")
@@ -348,7 +349,7 @@ def near_vectors(
     labels = staged(components(linked.filter("other >= 0").select("row", "other")), "labels")
     direct = linked.groupBy("row").agg(F.sum("links").alias("links"))
     grouped = member.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    lowest = grouped.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    lowest = staged(grouped.groupBy("component").agg(F.min("vec_id").alias("component_id")), "lowest")
     grouped = grouped.join(lowest, "component").join(direct.withColumnRenamed("row", "rep"), "rep", "left")
     grouped = grouped.select("row", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = rows.select("row", "vec_id").join(grouped, "row", "left")
