@@ -171,7 +171,7 @@ def link_calls(events: DataFrame, schemas: dict[str, dict], depends: DataFrame |
         F.count(F.when(F.col("kind") == "result", 1)).alias("n_results"),
         F.min(F.when(F.col("kind") == "result", F.col("position"))).alias("first_result"),
     )
-    by_id = by_id.toDF("c", "i", "n_calls", "n_results", "first_result")
+    by_id = staged(by_id.toDF("c", "i", "n_calls", "n_results", "first_result"), "identifiers")
     joined = rows.join(by_id, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("i")) & (F.col("kind") != "message"), "left").drop("c", "i")
     calls, results = F.coalesce("n_calls", F.lit(0)), F.coalesce("n_results", F.lit(0))
     status = (
