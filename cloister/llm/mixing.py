@@ -100,10 +100,11 @@ def mix_plan(rows: DataFrame, weights: tuple[float, ...], share: float, cap: flo
     taken = taken.select("si", _permuted(F.col("slot"), F.col("n_blocks"), F.col("si"), seed).alias("block"), F.floor(F.col("slot") / F.col("n_blocks")).alias("turn"))
     # Where each row stands in its source: sums by bucket, then within the bucket, so that no source is one task's.
     buckets = max(1, n_rows // 2_000)
-    dealt = known.filter("size > 0").select("row", "si", "size", "doc_id", F.pmod(F.xxhash64("doc_id", "row"), F.lit(buckets)).alias("bucket"))
+    dealt = known.filter("size > 0").select("row", "si", "size", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket"))
     sums = dealt.groupBy("si", "bucket").agg(F.sum("size").alias("n"))
     sums = sums.select("si", "bucket", (F.sum("n").over(Window.partitionBy("si").orderBy("bucket")) - F.col("n")).alias("base"))
-    inner = Window.partitionBy("si", "bucket").orderBy("doc_id", "row").rowsBetween(Window.unboundedPreceding, 0)
+    # Rows equal in id and size can change places without changing what the mix takes of each.
+    inner = Window.partitionBy("si", "bucket").orderBy("doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     placed = dealt.withColumn("upto", F.sum("size").over(inner)).join(sums, ["si", "bucket"])
     placed = placed.select("row", "si", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("first"))
     parts = placed.select("row", "si", "size", "first", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block))).alias("block"))
