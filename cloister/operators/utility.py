@@ -62,6 +62,35 @@ def distributions(orig: DataFrame, anon: DataFrame) -> DataFrame:
     return out.select(F.col("column").alias("item"), F.round("ks", 6).alias("ks"), F.round("e50", 6).alias("median_error"), F.round("e95", 6).alias("p95_error"), _verdict(ok))
 
 
+def cdf_points(orig: DataFrame, anon: DataFrame, steps: int = 20) -> DataFrame:
+    """What a chart of M4 draws: (item, share, original, anonymised), the values at even shares of both distributions.
+
+    Values halfway between two roundings go up, whatever the last bits of the interpolation say.
+    """
+    columns = shared(orig, anon, KPIS)
+    both = _long(orig, columns, "o").union(_long(anon, columns, "a"))
+    counts = both.groupBy("side", "column", "value").agg(F.count("*").alias("n"))
+    shares = ", ".join(f"{i / steps}D" for i in range(steps + 1))
+    quantiles = counts.groupBy("side", "column").agg(F.expr(f"percentile(value, array({shares}), n)").alias("q"))
+    points = quantiles.select("side", "column", F.posexplode("q").alias("i", "v"))
+    wide = points.groupBy("column", "i").agg(F.max(F.when(F.col("side") == "o", F.col("v"))).alias("o"), F.max(F.when(F.col("side") == "a", F.col("v"))).alias("a"))
+    return wide.select(F.col("column").alias("item"), F.round(F.col("i") / steps, 6).alias("share"), F.round(F.col("o") + 1e-12, 6).alias("original"), F.round(F.col("a") + 1e-12, 6).alias("anonymised"))
+
+
+def category_shares(orig: DataFrame, anon: DataFrame, top: int = 15, columns: tuple[str, ...] = CATEGORIES) -> DataFrame:
+    """What a chart of M5 draws: (item, label, original, anonymised), the shares of each column's commonest labels."""
+    out = None
+    for c in shared(orig, anon, columns):
+        label = F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("label")
+        counts = lambda df, n: df.groupBy(label).agg(F.count("*").alias(n))  # noqa: B023, E731
+        total = orig.agg(F.count("*").alias("to")).join(anon.agg(F.count("*").alias("ta")))
+        first = counts(orig, "o").orderBy(F.desc("o"), "label").limit(top)
+        both = first.join(counts(anon, "a"), "label", "left").join(F.broadcast(total))
+        one = both.select(F.lit(c).alias("item"), "label", F.round(F.col("o") / F.col("to"), 6).alias("original"), F.round(F.coalesce("a", F.lit(0)) / F.col("ta"), 6).alias("anonymised"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def categorical(orig: DataFrame, anon: DataFrame, columns: tuple[str, ...] = CATEGORIES) -> DataFrame:
     """M5: Jensen-Shannon divergence (base 2) of the labels of each column, null being a label; 0.02 or less passes."""
     names = shared(orig, anon, columns)

@@ -600,6 +600,20 @@ def _report() -> str:
     )
 
 
+def _cdf_points() -> str:
+    shares = [i / 20 for i in range(21)]
+    at = lambda t, c: f"(select unnest(quantile_cont({_q(c)}, {shares})) as v, unnest(range(0, 21)) as i from {t})"
+    return " union all ".join(f"select '{c}' as item, {_r('i / 20', 'share')}, {_r('x.v + 1e-12', 'original')}, {_r('y.v + 1e-12', 'anonymised')} from {at('orig', c)} x join {at('rel', c)} y using (i)" for c in KPIS)
+
+
+def _category_shares() -> str:
+    parts = []
+    for c in ("radio_access_type", "province", "application_category", "device_type"):
+        n = lambda t: f"(select coalesce(cast({c} as varchar), 'nan') as label, count(*) as n from {t} group by 1)"  # noqa: B023, E731
+        parts.append(f"select '{c}' as item, label, {_r('x.n / (select count(*) from orig)', 'original')}, {_r('coalesce(y.n, 0) / (select count(*) from rel)', 'anonymised')} from (select * from {n('orig')} order by n desc, label limit 15) x left join {n('rel')} y using (label)")
+    return " union all ".join(f"select * from ({p})" for p in parts)
+
+
 def oracles() -> dict[str, str]:
     util = _utility_parts()
     released = f"select row_id, {_cols(RELEASED)} from anon"
@@ -673,6 +687,8 @@ def oracles() -> dict[str, str]:
         "row_retention": _with(UTIL, util["M1"]),
         "kpi_completeness": _with(UTIL, util["M3"]),
         "ks_fidelity": _with(UTIL, util["M4"]),
+        "cdf_points": _with(UTIL, _cdf_points()),
+        "category_shares": _with(UTIL, _category_shares()),
         "jsd_categorical": _with(UTIL, util["M5"]),
         "spearman_delta": _with(RHO, f"select {_NAMES}[x.ca + 1] as a, {_NAMES}[x.cb + 1] as b, {_r('x.rho', 'original')}, {_r('y.rho', 'anonymised')}, {_r('abs(y.rho - x.rho)', 'change')} from s_o x join s_a y on x.ca = y.ca and x.cb = y.cb"),
         "finding_gap": _with(UTIL + _findings_ctes(), _findings()),

@@ -250,6 +250,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_retention": _on_utility(utility.row_retention),
     "kpi_completeness": _on_utility(utility.completeness),
     "ks_fidelity": _on_utility(utility.distributions),
+    "cdf_points": _on_utility(utility.cdf_points),
+    "category_shares": _on_utility(utility.category_shares),
     "jsd_categorical": _on_utility(utility.categorical),
     "spearman_delta": _on_utility(utility.correlation),
     "finding_gap": _on_utility(utility.findings),
