@@ -66,7 +66,8 @@ def with_statistics(df: DataFrame, text: Column, name: str = "stats") -> DataFra
         share(F.size(F.filter(words, lambda x: F.length(x) == 1)), w),
         share(F.size(F.filter(lines, lambda x: F.length(x) > 400)), k),
     ]
-    return cut.select(*kept, F.array(*parts).alias(name))
+    # The generator makes the array once for each row; filters and scores above it can't take its expressions apart.
+    return cut.select(*kept, F.explode(F.array(F.array(*parts))).alias(name))
 
 
 Rule = tuple[tuple[int, bool, float], ...]
