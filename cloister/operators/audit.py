@@ -30,7 +30,8 @@ def prepared(df: DataFrame, unit: str = "s", tz: str = "UTC") -> DataFrame:
     else:
         seconds = F.floor(F.col(TIME).try_cast("double") * {"s": 1.0, "ms": 0.001, "hour": 3600.0}[unit]).cast("long")
     out = df.withColumn("ts", seconds).withColumn(TIME, F.floor(F.col("ts") / 3600).cast("long"))
-    local = F.from_utc_timestamp(F.timestamp_seconds("ts"), tz)
+    # Without a zone, so that the session's has no say.
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, ts)"))
     return out.withColumn("hod", F.hour(local))
 
 

@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Vocabularies of a review document.
+# Vocabularies of a review document, whose checks name their test in the field tests_py_id.
 CLASSES = ("direct identifier", "quasi-identifier", "behavioural", "kpi", "unknown")
 GUARDED = ("direct identifier", "quasi-identifier")
 TESTS = ("T1", "T2", "T3", "T4", "T5", "T6", "T7", "T8", "T9")

@@ -78,6 +78,16 @@ def test_time_units(spark):
     assert audit.prepared(spark.createDataFrame([Row(time_start=5)]), "hour").first()["hod"] == 5
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_hours_do_not_follow_the_session_zone(spark, zone):
+    df = spark.createDataFrame([Row(time_start=1_700_000_000)])
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert audit.prepared(df).first()["hod"] == 22 and audit.prepared(df, tz="Europe/Helsinki").first()["hod"] == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_identifier_shapes(spark):
     df = spark.createDataFrame([Row(a="490154203237518"), Row(a="490154203237519")])
     found = {r["pattern"]: r["share"] for r in audit.identifier_scan(df).collect()}
