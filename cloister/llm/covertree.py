@@ -141,7 +141,11 @@ def traverse(x: np.ndarray, tx: dict, y: np.ndarray, ty: dict, same: bool, cosin
     stars: list[tuple[np.ndarray, np.ndarray]] = []
     last = len(tx["points"]) - 1
     ia, ib = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    for level in range(1, last + 1):
+    # Levels that the next one hardly refines prune nothing that it doesn't: begin below them.
+    start = 1
+    while start < last - 1 and all(len(t["points"][start + 1]) <= 1.05 * len(t["points"][start]) for t in (tx, ty)):
+        start += 1
+    for level in range(start, last + 1):
         px, py, rx, ry = tx["points"][level], ty["points"][level], tx["radius"][level], ty["radius"][level]
         keep_a, keep_b = [], []
 
@@ -183,7 +187,10 @@ def traverse(x: np.ndarray, tx: dict, y: np.ndarray, ty: dict, same: bool, cosin
                 stars.append((a, b))
 
         if len(ia) == 1:  # one pair of nodes: all their children by one product, some rows at a time
-            (a0, a1), (b0, b1) = ((c[0][k], c[1][k]) for c, k in ((tx["child"][level - 1], ia[0]), (ty["child"][level - 1], ib[0])))
+            if level == start:
+                (a0, a1), (b0, b1) = (0, len(px)), (0, len(py))
+            else:
+                (a0, a1), (b0, b1) = ((c[0][k], c[1][k]) for c, k in ((tx["child"][level - 1], ia[0]), (ty["child"][level - 1], ib[0])))
             step = max(1, _CHUNK * 4 // max(1, b1 - b0))
             across, row_radius = ry[b0:b1], rx[a0:a1]
             for single in (True, False):  # single vectors, mostly, need one comparison each
