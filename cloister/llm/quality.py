@@ -25,10 +25,12 @@ STATISTICS = (
 )
 
 
-def with_statistics(df: DataFrame, text: Column, name: str = "stats") -> DataFrame:
+def with_statistics(df: DataFrame, text: Column, name: str = "stats", filtered: bool = False) -> DataFrame:
     """``df`` with all statistics of a text as one array of doubles; 0 where a share has nothing to divide by.
 
-    Words and lines are columns of their own first, so that a text is split once and not for every statistic.
+    Words and lines are columns of their own first, so that a text is split once and not for every statistic. Where rows
+    are filtered by the array, it comes from a generator, below which Spark can't push the filter's conditions: it would
+    make the statistics again for each of them.
     """
     kept = [F.col(f"`{c}`") for c in df.columns]
     t = F.coalesce(text, F.lit(""))
@@ -66,8 +68,8 @@ def with_statistics(df: DataFrame, text: Column, name: str = "stats") -> DataFra
         share(F.size(F.filter(words, lambda x: F.length(x) == 1)), w),
         share(F.size(F.filter(lines, lambda x: F.length(x) > 400)), k),
     ]
-    # The generator makes the array once for each row; filters and scores above it can't take its expressions apart.
-    return cut.select(*kept, F.explode(F.array(F.array(*parts))).alias(name))
+    made = F.array(*parts)
+    return cut.select(*kept, (F.explode(F.array(made)) if filtered else made).alias(name))
 
 
 Rule = tuple[tuple[int, bool, float], ...]
@@ -239,5 +241,5 @@ def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """The documents that the classifier accepts, with all their columns."""
     model = train(docs, labels, id_col, text_col, **options)
     names = [f"`{c}`" for c in docs.columns]
-    rows = with_statistics(docs.select(F.struct(*names).alias("__doc")), F.col("__doc")[text_col], "__stats")
+    rows = with_statistics(docs.select(F.struct(*names).alias("__doc")), F.col("__doc")[text_col], "__stats", filtered=True)
     return rows.filter(model.column(F.col("__stats")) >= threshold).select("__doc.*")
