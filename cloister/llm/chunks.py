@@ -4,6 +4,11 @@ A gear rolling hash over the UTF-8 bytes (32 bits, so its window is 32 bytes) en
 at least 16 and at most 256 bytes after the last end and never inside a character. Inserting text moves the chunks after
 it but doesn't change them, so a passage that several texts share gives the same chunks in all of them, but for the first
 and the last. Chunks with equal 128-bit digests are copies of the first of them, by document and place.
+
+Passages are found to the word. Of any ``REACH`` neighbouring windows of 32 bytes, the one with the smallest gear hash is
+an anchor, so that any ``REACH + 31`` bytes (the least that 51 words take, letters and spaces of one byte each) hold an
+anchor wherever they stand. Anchors that stand once rule out all passages they are in; in what is left, every stretch of
+51 words is digested, and equal digests are copies.
 """
 
 from __future__ import annotations
@@ -16,21 +21,29 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged
+from .common import batches_of, small_batches, staged
 
 SHORTEST, LONGEST, BITS = 16, 256, 5
+#: Bytes of an anchor; neighbours of which one is an anchor.
+GRAM, REACH = 32, 70
 _GEAR = np.random.default_rng(77).integers(1, 2**32, 256, dtype=np.uint32)
 _GEAR[0] = 0
 
 
+def _gear(raw: np.ndarray) -> np.ndarray:
+    """The gear hash after each byte, of it and up to 31 before it."""
+    h = _GEAR[raw]
+    for width in (1, 2, 4, 8, 16):
+        if width < len(raw):
+            h[width:] = h[width:] + (h[:-width] << np.uint32(width))
+    return h
+
+
 def chunk_ends(data: bytes) -> list[int]:
     """Where the chunks of a text in UTF-8 end; the last is its length."""
     n = len(data)
     raw = np.frombuffer(data, np.uint8)
-    h = _GEAR[raw]
-    for width in (1, 2, 4, 8, 16):
-        if width < n:
-            h[width:] = h[width:] + (h[:-width] << np.uint32(width))
+    h = _gear(raw)
     inner = np.zeros(n, bool)
     inner[:-1] = (raw[1:] & 0xC0) == 0x80
     out, last = [], 0
@@ -85,34 +98,197 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return chunks.hint("merge").join(often.hint("merge"), "h1").select("row", "doc_id", "nth", "start", "length", "h1", "h2")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bytes: int = 150) -> DataFrame:
-    """Passages that stand elsewhere too, in the same or another document: runs of repeated chunks of ``least_bytes`` or more.
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digests of a text's anchors, and the first and last start of ``REACH`` neighbours that each is the smallest of (of
+    equal ones the last)."""
+    if len(data) < GRAM + REACH - 1:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    raw = np.frombuffer(data, np.uint8)
+    h = _gear(raw)[GRAM - 1 :].astype(np.uint64)
+    low, size = (h << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - np.arange(len(h), dtype=np.uint64)), 1
+    while size < REACH:
+        step = min(size, REACH - size)
+        low, size = np.minimum(low[:-step], low[step:]), size + step
+    at = (np.uint64(0xFFFFFFFF) - (low & np.uint64(0xFFFFFFFF))).astype(np.int64)
+    new = np.flatnonzero(at[1:] != at[:-1]) + 1
+    first, last = np.concatenate([[0], new]), np.concatenate([new - 1, [len(at) - 1]])
+    parts = raw[at[first][:, None] + np.arange(GRAM)].view("<u8")
+    digest = np.zeros(len(first), np.uint64)
+    for k in range(GRAM // 8):
+        digest = (digest ^ (digest >> np.uint64(31)) ^ parts[:, k]) * np.uint64(0x9E3779B97F4A7C15 + 2 * k)
+        digest = (digest ^ (digest >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return digest ^ (digest >> np.uint64(32)), first, last
+
+
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text in UTF-8 start and end; characters from U+3000 to U+9FFF, written without spaces, are words each."""
+    raw = np.frombuffer(data, np.uint8)
+    gap = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    leads = np.flatnonzero((raw & 0xC0) != 0x80)
+    if not len(leads):
+        return leads, leads
+    gaps, wide = gap[leads], (raw[leads] >= 0xE3) & (raw[leads] <= 0xE9)
+    starts = leads[~gaps & (wide | np.concatenate([[True], gaps[:-1] | wide[:-1]]))]
+    breaks = np.append(np.flatnonzero(gap), len(raw))
+    return starts, np.minimum(breaks[np.searchsorted(breaks, starts)], np.append(starts[1:], len(raw))) if len(starts) else starts
+
+
+_ANCHOR = np.dtype([("digest", "<u8"), ("doc", "<u8")])
+#: Anchors of one bucket, about; anchors that a task gathers before it passes them on.
+_BUCKET, _GATHER = 500_000, 800_000
+
+
+def _grouped(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Records by digest; which of them begin one; which have an equal digest, or one that is known (doc 0) to repeat."""
+    records = records[np.lexsort((records["doc"], records["digest"]))]
+    new = np.concatenate([[True], records["digest"][1:] != records["digest"][:-1]])
+    size = np.diff(np.append(np.flatnonzero(new), len(records)))
+    return records, new, np.repeat((size > 1) | (records["doc"][new] == 0), size)
+
+
+def _anchor_records(buckets: int):
+    """Packed anchors of (key, text) by bucket of digests. An anchor that repeats within what a task gathers goes on once,
+    as doc 0; its documents are dealt over buckets of their own, from ``buckets`` on, so that none is hot."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        total = 0
+
+        def passed_on() -> pa.RecordBatch:
+            records, new, again = _grouped(np.concatenate(held))
+            once = records[new & again]
+            once["doc"] = 0
+            here = records[again & (records["doc"] != 0)]
+            out = np.concatenate([records[~again], once, here])
+            n = len(out) - len(here)
+            bucket = (out["digest"] % np.uint64(buckets)).astype(np.int32)
+            bucket[n:] = buckets + (here["doc"] % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            bucket, out = bucket[order], out[order]
+            first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            parts = [x.tobytes() for x in np.split(out, first[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), pa.array(parts, pa.binary())], names=["bucket", "held"])
+
+        for batch in batches:
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text")):
+                digests = np.sort(anchors(text.as_py().encode("utf-8", "surrogatepass"))[0])
+                twice = digests[1:][digests[1:] == digests[:-1]]
+                digests = digests[np.concatenate([[True], digests[1:] != digests[:-1]])] if len(digests) else digests
+                records = np.empty(len(digests) + len(twice), _ANCHOR)
+                records["digest"] = np.concatenate([digests, twice])
+                records["doc"][: len(digests)] = np.int64(key).view(np.uint64)
+                records["doc"][len(digests) :] = 0
+                held.append(records)
+                total += len(records)
+                if total >= _GATHER:
+                    yield passed_on()
+                    held, total = [], 0
+        if total:
+            yield passed_on()
+
+    return found
+
+
+def _repeating(buckets: int):
+    def repeating(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Over rows sorted by bucket."""
+        bucket, parts = None, []
+
+        def made() -> pa.RecordBatch:
+            records = np.frombuffer(b"".join(parts), _ANCHOR)
+            if bucket < buckets:
+                records, _, again = _grouped(records)
+                records = records[again & (records["doc"] != 0)]
+            return pa.RecordBatch.from_arrays([pa.array(records[x].view(np.int64).copy()) for x in ("doc", "digest")], names=["key", "digest"])
+
+        for batch in batches:
+            for b, held in zip(batch.column("bucket").to_pylist(), batch.column("held")):
+                if b != bucket:
+                    if parts:
+                        yield made()
+                    bucket, parts = b, []
+                parts.append(held.as_py())
+        if parts:
+            yield made()
+
+    return repeating
+
+
+_STRETCHES = "row long, doc_id long, nth int, start int, end int, h1 long, h2 long"
+
+
+def stretches(data: bytes, repeating: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(nth word, start, end) of the stretches of so many words in which every anchor repeats that all their copies have."""
+    starts, ends = word_spans(data)
+    starts, ends = starts[: max(0, len(starts) - words + 1)], ends[words - 1 :]
+    digest, first, last = anchors(data)
+    alone = ~np.isin(digest, repeating)
+    low, high = np.searchsorted(ends, first[alone] + REACH + GRAM - 1), np.searchsorted(starts, last[alone], side="right")
+    out = np.zeros(len(starts) + 1, np.int64)
+    np.add.at(out, low[low < high], 1)
+    np.add.at(out, high[low < high], -1)
+    nth = np.flatnonzero(np.cumsum(out[:-1]) == 0)
+    return nth, starts[nth], ends[nth]
+
+
+def _stretched(words: int):
+    def stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, doc_id, text, digests in zip(*(batch.column(k) for k in ("row", "doc_id", "text", "digests"))):
+                data = text.as_py().encode("utf-8", "surrogatepass")
+                nth, start, end = stretches(data, np.asarray(digests.values).view(np.uint64), words)
+                for i in range(0, len(nth), 100_000):
+                    a, b = start[i : i + 100_000], end[i : i + 100_000]
+                    h = np.frombuffer(b"".join([xxhash.xxh3_128_digest(data[x:y]) for x, y in zip(a.tolist(), b.tolist())]), "<i8").reshape(-1, 2)
+                    columns = [pa.array([x.as_py()] * len(a), pa.int64()) for x in (row, doc_id)] + [pa.array(x.astype(np.int32)) for x in (nth[i : i + 100_000], a, b)]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], names=[x.split()[0] for x in _STRETCHES.split(", ")])
+
+    return stretched
+
 
-    The default is half of what 50 words usually take, as the chunks at a passage's ends differ from place to place.
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 51) -> DataFrame:
+    """Passages of ``words`` words or more that stand elsewhere too, in the same or another document, to the word.
 
-    One row per passage and place: doc_id, start and length (bytes of the UTF-8 text), n_chunks, first_doc_id (the smallest
-    id that has any of its chunks), digest (of its first chunk, hexadecimal), repeat (whether any of its chunks
-    stands earlier, by id and place; False for the place that keeps the passage). A document that shares nothing has no
-    row. Null and empty texts have no chunks. Rows with equal ids are documents of their own; null ids come first. An
-    empty table gives no rows. Other columns are ignored.
+    One row per passage and place: doc_id, start and length (bytes of the UTF-8 text), n_chunks (stretches of ``words`` words
+    in it), first_doc_id (the smallest id that has any of its stretches), digest (of its first stretch, hexadecimal), repeat
+    (whether any of its stretches stands earlier, by id and place; False for the place that keeps the passage). Stretches
+    that begin with neighbouring words make one passage. A document that shares nothing has no row. Null and empty texts
+    have no words. Rows with equal ids are documents of their own; null ids come first. An empty table gives no rows. Other
+    columns are ignored.
     """
-    again = staged(repeated_chunks(docs, id_col, text_col), "repeated")
+    if words < 51:
+        raise ValueError("a stretch of under 51 words may hold no anchor")
+    spark = docs.sparkSession
+    small_batches(spark)
+    text = F.col(f"`{text_col}`")
+    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text")).filter("text <> ''")
+    # Zero stands for anchors known to repeat; documents that share a key only share what is looked at.
+    key = F.xxhash64("doc_id", "text")
+    source = source.withColumn("key", F.when(key == 0, 1).otherwise(key))
+    n_bytes = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(16, n_bytes * 2 // REACH // _BUCKET)
+    dealt = source.select("key", "text").mapInArrow(_anchor_records(buckets), "bucket int, held binary").repartition("bucket").sortWithinPartitions("bucket")
+    # Rows are packed arrays here, of some 100 KB each.
+    with batches_of(spark, 64):
+        known = staged(dealt.mapInArrow(_repeating(buckets), "key long, digest long"), "anchors")
+    by_doc = known.groupBy("key").agg(F.collect_list("digest").alias("digests"))
+    with batches_of(spark, 100):
+        again = staged(source.hint("merge").join(by_doc.hint("merge"), "key").select("row", "doc_id", "text", "digests").mapInArrow(_stretched(words), _STRETCHES), "stretches")
     place = F.struct("doc_id", "row", "start")
-    # Written first, so that the join's two sides are plain exchanges, of which Spark can split a chunk that is everywhere.
+    # Written first, so that the join's two sides are plain exchanges, of which Spark can split a stretch that is everywhere.
     first = staged(again.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1"), "first")
     marked = again.hint("merge").join(first.hint("merge"), ["h1", "h2"])
     marked = marked.withColumn("later", (F.col("first.row") != F.col("row")) | (F.col("first.start") != F.col("start")))
-    # Chunks in a row of one document make a run; a document's chunks are one text's.
     run = F.col("nth") - F.row_number().over(Window.partitionBy("row").orderBy("nth"))
-    rows = marked.select("row", "doc_id", "nth", "start", "length", "later", F.col("first.doc_id").alias("first_doc_id"), "h1", "h2", run.alias("run"))
+    rows = marked.select("row", "doc_id", "nth", "start", "end", "later", F.col("first.doc_id").alias("first_doc_id"), "h1", "h2", run.alias("run"))
     runs = rows.groupBy("row", "run").agg(
         F.min("doc_id").alias("doc_id"),
         F.min("start").cast("long").alias("start"),
-        F.sum("length").cast("long").alias("length"),
+        (F.max("end") - F.min("start")).cast("long").alias("length"),
         F.count("*").alias("n_chunks"),
         F.min("first_doc_id").alias("first_doc_id"),
         F.min(F.struct("nth", "h1", "h2")).alias("head"),
         F.max("later").alias("repeat"),
     )
     digest = F.lower(F.concat(F.lpad(F.hex("head.h1"), 16, "0"), F.lpad(F.hex("head.h2"), 16, "0")))
-    return runs.filter(F.col("length") >= least_bytes).select("doc_id", "start", "length", "n_chunks", "first_doc_id", digest.alias("digest"), "repeat")
+    return runs.select("doc_id", "start", "length", "n_chunks", "first_doc_id", digest.alias("digest"), "repeat")

@@ -253,6 +253,31 @@ def test_chunks_against_a_plain_count(spark):
     assert sorted((r["doc_id"], r["nth"], r["start"], r["length"]) for r in chunks.repeated_chunks(df).collect()) == want
 
 
+def test_passages_of_51_words_are_found_whole(docs_of):
+    r = random.Random(12)
+    prose = lambda n, least=1: " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(r.randrange(least, 8))) for _ in range(n))
+    rows, want = [], set()
+    for k in range(150):
+        n = 50 if k % 5 == 0 else 51
+        passage = " ".join(r.choice("abcdefghijklm") for _ in range(n)) if k % 3 == 0 else prose(n)
+        for i in (2 * k, 2 * k + 1):
+            before = prose(r.randrange(1, 90), 5) + f"{i % 2} "
+            rows.append((i, before + passage + f" {i % 2}" + prose(r.randrange(1, 90), 5)))
+            if n == 51:
+                want.add((i, len(before.encode()), len(passage.encode()), 2 * k, i % 2 == 1))
+    got = chunks.repeated_passages(docs_of(rows)).collect()
+    assert {(x["doc_id"], x["start"], x["length"], x["first_doc_id"], x["repeat"]) for x in got} == want
+
+
+def test_passages_shared_with_others_than_the_first(docs_of):
+    r = random.Random(13)
+    prose = lambda n: " ".join(f"w{r.randrange(100_000)}" for _ in range(n))
+    phrase, long = prose(20), prose(40)
+    rows = [(1, prose(60) + " " + phrase + " " + prose(60)), *[(i, prose(60) + " " + phrase + " " + long + " " + prose(60)) for i in (2, 3)]]
+    got = {(x["doc_id"], x["first_doc_id"], dict(rows)[x["doc_id"]][x["start"] : x["start"] + x["length"]]) for x in chunks.repeated_passages(docs_of(rows)).collect()}
+    assert got == {(i, 2, phrase + " " + long) for i in (2, 3)}
+
+
 def test_passages_of_odd_rows(odd, none):
     got = {r["doc_id"] for r in chunks.repeated_passages(odd).collect()}
     assert {5, 6} <= got and not got & {1, 2, 3, 4}
