@@ -1,12 +1,14 @@
 """Line deduplication by a segment-partition edit join.
 
 Lines within ``edits`` of each other share a segment: cut one into ``edits + 1`` segments, and at least one of them
-stands in the other, unshifted but for as many places as edits allow. Every distinct line of ``least_chars`` or more is
+stands in the other, unshifted but for as many places as edits allow. Every distinct line of ``near_chars`` or more is
 indexed by its segments under (length, segment number, hash), and probes the indexes of its own and of smaller lengths
 with the substrings that can match. Keys travel in packed arrays, one for each task and bucket of keys, and meet there. Of
 the pairs that meet, those go whose characters occur an odd number of times too differently (an edit changes that for two
 characters at most); the rest are verified on whole lines by a bit-parallel edit distance that computes only the diagonals
-within the threshold. Shorter lines are never near anything and never dropped.
+within the threshold: ``edits`` where the longer line has ``least_chars`` or more, else one. Lines shorter than
+``near_chars`` are never near anything; equal ones are dropped from ``exact_chars`` on, unless they are blank. Both are
+``least_chars`` if they aren't given.
 
 A line is dropped where the same line, or one within ``edits`` of it, stands earlier: by document id, then place.
 """
@@ -113,7 +115,7 @@ def _signed(values: list[int]) -> pa.Array:
     return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
 
 
-def _occurrences(least_chars: int):
+def _occurrences(least_chars: int, exact_chars: int):
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
@@ -122,7 +124,7 @@ def _occurrences(least_chars: int):
                 for doc_id, th, text in zip(*(some.column(k).to_pylist() for k in ("doc_id", "th", "text"))):
                     seen: set[str] = set()
                     for place, line in enumerate(_split(text)):
-                        if len(line) >= least_chars:
+                        if len(line) >= least_chars or (len(line) >= exact_chars and not line.isspace()):
                             a, b = _digest(line)
                             ids.append(doc_id)
                             hashes.append(th)
@@ -283,19 +285,19 @@ def _wanted_lines(least_chars: int):
     return lines
 
 
-def _verifier(edits: int):
+def _verifier(edits: int, least_chars: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far = [within(x, y, edits) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            far = [within(x, y, edits if max(len(x), len(y)) >= least_chars else min(edits, 1)) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             out = batch.select(["a1", "a2", "b1", "b2"]).append_column("distance", pa.array(far, pa.int32()))
             yield out.filter(pa.array([d is not None for d in far], pa.bool_()))
 
     return verify
 
 
-def _near(texts: DataFrame, n_lines: int, edits: int, least_chars: int) -> DataFrame:
+def _near(texts: DataFrame, n_lines: int, edits: int, least_chars: int, near_chars: int) -> DataFrame:
     buckets = max(16, n_lines * 15 // _BUCKET)
-    keys = texts.mapInArrow(_keys(least_chars, edits, buckets), "bucket int, held binary")
+    keys = texts.mapInArrow(_keys(near_chars, edits, buckets), "bucket int, held binary")
     dealt = keys.repartition("bucket").sortWithinPartitions("bucket")
     # Rows are packed arrays here, of some 100 KB each.
     with batches_of(texts.sparkSession, 64):
@@ -303,35 +305,36 @@ def _near(texts: DataFrame, n_lines: int, edits: int, least_chars: int) -> DataF
     people = staged(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "lines")
     # The lines themselves are only needed for candidates; a broadcast of a million numbers at most.
     few = people.count() <= 1_000_000
-    lines = texts.mapInArrow(_wanted_lines(least_chars), _LINES)
+    lines = texts.mapInArrow(_wanted_lines(near_chars), _LINES)
     lines = staged(lines.join(F.broadcast(people) if few else people, "line", "left_semi").dropDuplicates(["h1", "h2"]), "candidates")
     whole = pairs.join(lines.toDF("a", "a1", "a2", "x"), "a").join(lines.toDF("b", "b1", "b2", "y"), "b")
-    return staged(whole.select("a1", "a2", "b1", "b2", "x", "y").mapInArrow(_verifier(edits), "a1 long, a2 long, b1 long, b2 long, distance int"), "near")
+    return staged(whole.select("a1", "a2", "b1", "b2", "x", "y").mapInArrow(_verifier(edits, least_chars), "a1 long, a2 long, b1 long, b2 long, distance int"), "near")
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("th"), F.col(f"`{text_col}`").alias("text")).filter("text is not null")
 
 
-def near_lines(docs: DataFrame, text_col: str = "text", edits: int = 2, least_chars: int = 32) -> DataFrame:
-    """All pairs of distinct lines at most ``edits`` apart: (a1, a2, b1, b2, distance), by the two halves of the lines'
+def near_lines(docs: DataFrame, text_col: str = "text", edits: int = 2, least_chars: int = 32, near_chars: int | None = None) -> DataFrame:
+    """All pairs of distinct near lines: (a1, a2, b1, b2, distance), by the two halves of the lines'
     128-bit digests, each pair once."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(f"`{text_col}`").alias("text")).filter("text is not null")
     n = texts.select(F.sum(F.size(F.split("text", "\n", -1)))).first()[0] or 0
-    return _near(texts, n, edits, least_chars)
+    return _near(texts, n, edits, least_chars, least_chars if near_chars is None else near_chars)
 
 
-def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 2, least_chars: int = 32) -> DataFrame:
+def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 2, least_chars: int = 32, near_chars: int | None = None, exact_chars: int | None = None) -> DataFrame:
     """Places of lines that have a copy or a near line: (doc_id, th, place, drop, near, links).
 
     drop: an equal or near line stands earlier; near: only a near one does; links: near lines of the line. Documents of
     equal ids are not told apart by order: neither drops a line of the other.
     """
     small_batches(docs.sparkSession)
+    near_chars, exact_chars = (least_chars if x is None else x for x in (near_chars, exact_chars))
     source = _source(docs, id_col, text_col)
-    occurrences = staged(source.mapInArrow(_occurrences(least_chars), _OCCURRENCES), "occurrences")
-    near = _near(source.select("text"), occurrences.count(), edits, least_chars)
+    occurrences = staged(source.mapInArrow(_occurrences(min(least_chars, near_chars), exact_chars), _OCCURRENCES), "occurrences")
+    near = _near(source.select("text"), occurrences.count(), edits, least_chars, near_chars)
     key = ["h1", "h2"]
     first = occurrences.groupBy(*key).agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"))
     both = near.select("a1", "a2", "b1", "b2").union(near.select("b1", "b2", "a1", "a2")).toDF("h1", "h2", "o1", "o2")
@@ -354,9 +357,9 @@ def _without(line_col: str = "text") -> Column:
     return F.when(F.col("places").isNull(), F.col(line_col)).otherwise(F.array_join(kept, "\n"))
 
 
-def _joined(docs: DataFrame, id_col: str, text_col: str, edits: int, least_chars: int) -> DataFrame:
+def _joined(docs: DataFrame, id_col: str, text_col: str, edits: int, least_chars: int, near_chars: int | None, exact_chars: int | None) -> DataFrame:
     """(__doc, __id, __text, places, n_exact, n_near, n_links)"""
-    decided = line_decisions(docs, id_col, text_col, edits, least_chars)
+    decided = line_decisions(docs, id_col, text_col, edits, least_chars, near_chars, exact_chars)
     # Rows equal in id and text are one document here, whose places come several times.
     by_place = decided.groupBy("doc_id", "th", "place").agg(F.max("drop").alias("drop"), F.max("near").alias("near"), F.max("links").alias("links"))
     by_doc = by_place.groupBy("doc_id", "th").agg(
@@ -372,25 +375,25 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, edits: int, least_chars
     return keyed.join(by_doc, (F.col("__key") == F.col("doc_id")) & (F.xxhash64("__text") == F.col("th")), "left")
 
 
-def deduplicated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 2, least_chars: int = 32) -> DataFrame:
+def deduplicated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 2, least_chars: int = 32, near_chars: int | None = None, exact_chars: int | None = None) -> DataFrame:
     """What each document keeps: doc_id, n_lines, n_exact and n_near (lines dropped), n_links (near lines of its lines), text.
 
     Lines end at line feeds; the text without its dropped lines keeps all others as they are. A null text stays null and
     has no lines; an empty one has none either. Documents of equal ids never drop lines of each other, so repeated rows
     get the same result. Null ids come first. An empty table gives no rows. Other columns are ignored.
     """
-    out = _joined(docs.select(f"`{id_col}`", f"`{text_col}`"), id_col, text_col, edits, least_chars)
+    out = _joined(docs.select(f"`{id_col}`", f"`{text_col}`"), id_col, text_col, edits, least_chars, near_chars, exact_chars)
     n_lines = F.when(F.coalesce(F.col("__text"), F.lit("")) == "", 0).otherwise(F.size(F.split("__text", "\n", -1)))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return out.select(F.col("__doc")[id_col].cast("long").alias("doc_id"), n_lines.cast("long").alias("n_lines"), zero("n_exact"), zero("n_near"), zero("n_links"), _without("__text").alias("text"))
 
 
-def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 2, least_chars: int = 32) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 2, least_chars: int = 32, near_chars: int | None = None, exact_chars: int | None = None) -> DataFrame:
     """The documents, with all their columns, without lines that stood earlier; those that lose all their lines go.
 
     ``n_chars``, where there is such a column, counts the new text.
     """
-    out = _joined(docs, id_col, text_col, edits, least_chars).withColumn("__new", _without("__text"))
+    out = _joined(docs, id_col, text_col, edits, least_chars, near_chars, exact_chars).withColumn("__new", _without("__text"))
     out = out.filter("places is null or trim(both '\n' from __new) <> ''")
     at = F.col("__doc")
     columns = [F.col("__new") if c == text_col else F.when(F.col("places").isNull(), at[c]).otherwise(F.length("__new").cast("long")) if c == "n_chars" else at[c] for c in docs.columns]

@@ -28,7 +28,7 @@ def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.deduplicated_lines(table(spark, sf_dir, "documents"))
+    return lines.deduplicated_lines(table(spark, sf_dir, "documents"), near_chars=16, exact_chars=1)
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,8 +16,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without lines that stand earlier, equal or within two edits; documents that lose every line go."""
-    return lines.without_repeated_lines(docs)
+    """Without lines that stand earlier, equal or within two edits (16 to 31 characters: one; fewer: none); documents that
+    lose every line go."""
+    return lines.without_repeated_lines(docs, near_chars=16, exact_chars=1)
 
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

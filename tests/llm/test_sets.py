@@ -211,6 +211,34 @@ def test_lines_of_odd_rows(odd, none, docs_of):
     assert lines.deduplicated_lines(none).count() == lines.without_repeated_lines(none).count() == 0
 
 
+def test_short_lines_against_all_pairs(spark, docs_of, tmp_path):
+    import corpus_pipeline
+    from cloister.llm import queries
+
+    r = random.Random(5)
+    pool = ["".join(r.choice("abcdefgh ") for _ in range(r.choice((1, 3, 8, 15, 16, 17, 24, 30, 31, 32, 33)))) for _ in range(40)]
+    rows = []
+    for i in range(60):
+        some = []
+        for _ in range(r.randrange(1, 6)):
+            line = list(r.choice(pool))
+            for _ in range(r.choice((0, 0, 1, 2))):
+                at = r.randrange(len(line) + 1)
+                line[at : at + 1] = r.choice(([], ["z"], ["y", "é"]))
+            some.append("".join(line))
+        rows.append((i, "\n".join([*some, "end", "   ", ""])))
+    places = [(i, k, x) for i, t in rows for k, x in enumerate(t.split("\n")) if x.strip(" ")]
+    near = lambda a, b: min(len(a), len(b)) >= 16 and distance(a, b) <= (2 if max(len(a), len(b)) >= 32 else 1)
+    drop = {(i, k) for n, (i, k, x) in enumerate(places) if any(x == y or near(x, y) for _, _, y in places[:n])}
+    want = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in drop) for i, t in rows}
+    docs = docs_of(rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x["doc_id"]: x["text"] for x in queries.op5_lines(spark, str(tmp_path)).collect()}
+    assert got == want and any(len(x) < 16 for i, k, x in places if (i, k) in drop)
+    stage = {x["doc_id"]: x["text"] for x in corpus_pipeline.line_stage(spark, docs, str(tmp_path)).collect()}
+    assert stage == {i: t for i, t in want.items() if t.strip("\n")}
+
+
 @given(st.text(max_size=600), st.text(max_size=40))
 @settings(max_examples=150, deadline=None)
 def test_chunks_cover_and_resist_insertions(text, more):
