@@ -4,7 +4,8 @@ Calls and their results are joined by conversation and identifier, put in an ord
 held against the schemas of their tools, and written as canonical JSON: keys sorted by code point, no white space, only
 the escapes that JSON demands.
 
-Messages are dealt by call, never by conversation, so a conversation of any length is no task's alone. Numbers within a
+Messages are dealt by call, never by conversation, so a conversation of any length is no task's alone; only where a call
+needs one that doesn't stand earlier, the identifiers, positions and needs of that conversation (no bodies) meet in a task. Numbers within a
 conversation come from counts by stretches of turns and then within stretches.
 """
 
@@ -91,35 +92,65 @@ def numbered(rows: DataFrame, group: str, position: str, ties: list[Column]) ->
     return joined.withColumn("seq", (F.col("__base") + F.col("__k") - 1).cast("long")).drop("__stretch", "__group", "__at", "__base", "__k")
 
 
-def ordered(calls: DataFrame, depends: DataFrame, rounds: int = 64) -> DataFrame:
+_ORDER = "call_id string, position long, ready long, hops int, cycle boolean"
+
+
+def _peeled():
+    """For the rows (conv_id, call_id, position, needs) of a conversation: its calls (needs null) and what they need."""
+
+    def peeled(rows: pa.Table) -> pa.Table:
+        ids, positions, needs = (rows.column(k).to_pylist() for k in ("call_id", "position", "needs"))
+        calls = {c: p for c, p, n in zip(ids, positions, needs) if n is None}
+        least = -(2**63)  # of null positions, which come first
+        key = {c: (least if p is None else p, 0) for c, p in calls.items()}
+        needed_by: dict[str, list[str]] = {}
+        open_needs = dict.fromkeys(calls, 0)
+        for c, n in zip(ids, needs):
+            if n is not None and c in calls and n in calls:
+                needed_by.setdefault(n, []).append(c)
+                open_needs[c] += 1
+        free = [c for c, n in open_needs.items() if not n]
+        for n in free:  # grows while calls become free
+            ready, hops = key[n]
+            for c in needed_by.get(n, ()):
+                key[c] = max(key[c], (ready, hops + 1))
+                open_needs[c] -= 1
+                if not open_needs[c]:
+                    free.append(c)
+        cycle = [open_needs[c] > 0 for c in calls]
+        ready = [p if on or key[c][0] == least else key[c][0] for (c, p), on in zip(calls.items(), cycle)]
+        hops = [0 if on else key[c][1] for c, on in zip(calls, cycle)]
+        conv_id = pa.array([rows.column("conv_id")[0].as_py()] * len(calls), rows.schema.field("conv_id").type)
+        columns = [conv_id, pa.array(list(calls), pa.string()), pa.array(list(calls.values()), pa.int64()), pa.array(ready, pa.int64()), pa.array(hops, pa.int32()), pa.array(cycle, pa.bool_())]
+        return pa.Table.from_arrays(columns, names=["conv_id", *[x.split()[0] for x in _ORDER.split(", ")]])
+
+    return peeled
+
+
+def ordered(calls: DataFrame, depends: DataFrame) -> DataFrame:
     """When each call can run: (conv_id, call_id, ready, hops, cycle), to be sorted by (ready, hops, position).
 
     calls: conv_id, call_id, position; depends: conv_id, call_id, needs. A call is ready at its own position or, if later,
-    at that of what it needs, some hops after it. Logs whose calls need only earlier ones take no round; each round moves
-    calls behind what they need, and those that still move after ``rounds`` rounds depend on themselves: they keep their
-    position and are marked, and so are those that need them.
+    at that of what it needs, some hops after it. Conversations whose calls need only earlier ones are in order. In each of
+    the others, calls whose needs are all placed are placed one after the other, however long the chains; what is never
+    placed is on a cycle or needs what is: it keeps its position and is marked.
     """
-    state = staged(calls.groupBy("conv_id", "call_id").agg(F.min("position").alias("position")).withColumn("key", F.struct(F.col("position").alias("ready"), F.lit(0).alias("hops"))).withColumn("last", F.lit(-1)), "calls")
-    edges = depends.distinct()
-    settled = False
-    for k in range(rounds):
-        need = state.select(F.col("conv_id").alias("c"), F.col("call_id").alias("needs"), F.col("key").alias("other"))
-        late = edges.join(need, (F.col("conv_id").eqNullSafe(F.col("c"))) & (edges["needs"] == need["needs"])).select("conv_id", "call_id", F.struct(F.col("other.ready").alias("ready"), (F.col("other.hops") + 1).alias("hops")).alias("least"))
-        late = late.groupBy("conv_id", "call_id").agg(F.max("least").alias("least"))
-        late = late.toDF("c", "i", "least")
-        joined = state.join(late, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("i")), "left")
-        behind = F.col("least").isNotNull() & (F.col("least.ready") > F.col("key.ready")) | ((F.col("least.ready") == F.col("key.ready")) & (F.col("least.hops") > F.col("key.hops")))
-        behind = F.coalesce(behind, F.lit(False))
-        stepped = joined.select("conv_id", "call_id", "position", F.when(behind, F.col("least")).otherwise(F.col("key")).alias("key"), F.when(behind, k).otherwise(F.col("last")).alias("last"))
-        state = staged(stepped, "ordered")
-        if state.filter(F.col("last") == k).isEmpty():
-            settled = True
-            break
-    # What moved in the second half of all rounds is on a cycle, or needs what is.
-    cycle = F.lit(False) if settled else F.col("last") >= rounds // 2
-    out = state.select("conv_id", "call_id", "position", F.col("key.ready").alias("ready"), F.col("key.hops").cast("int").alias("hops"), cycle.alias("cycle"))
-    ready, hops = F.when(F.col("cycle"), F.col("position")).otherwise(F.col("ready")), F.when(F.col("cycle"), F.lit(0)).otherwise(F.col("hops"))
-    return out.select("conv_id", "call_id", ready.alias("ready"), hops.alias("hops"), "cycle")
+    state = staged(calls.groupBy("conv_id", "call_id").agg(F.min("position").cast("long").alias("position")), "calls")
+    edges = depends.filter("call_id is not null and needs is not null").select("conv_id", "call_id", "needs").distinct()
+    own = state.toDF("c", "i", "mine")
+    theirs = state.toDF("d", "n", "other")
+    met = edges.join(own, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("i"))).join(theirs, F.col("conv_id").eqNullSafe(F.col("d")) & (F.col("needs") == F.col("n")))
+    # Null positions come first.
+    late = met.filter(F.col("mine").isNull() | (F.col("other") >= F.col("mine"))).select(F.col("conv_id").alias("late")).distinct()
+    late = staged(late, "late")
+    in_order = state.select("conv_id", "call_id", F.col("position").alias("ready"), F.lit(0).alias("hops"), F.lit(False).alias("cycle"))
+    if late.isEmpty():
+        return in_order
+    is_late = F.col("conv_id").eqNullSafe(F.col("late"))
+    rows = state.withColumn("needs", F.lit(None).cast("string")).unionByName(edges.withColumn("position", F.lit(None).cast("long"))).join(late, is_late, "left_semi")
+    kind = dict(state.dtypes)["conv_id"]
+    placed = rows.groupBy("conv_id").applyInArrow(_peeled(), f"conv_id {kind}, {_ORDER}")
+    return in_order.join(late, is_late, "left_anti").unionByName(placed.select("conv_id", "call_id", "ready", "hops", "cycle"))
 
 
 def _checker(schemas: dict[str, dict]):

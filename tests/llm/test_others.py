@@ -201,6 +201,18 @@ def test_topological_order(spark):
     assert [r["cycle"] for r in got if r["conv_id"] == 2] == [True, True] and not any(r["cycle"] for r in got if r["conv_id"] == 1)
 
 
+def test_long_chains_beside_a_cycle(spark):
+    n = 100
+    events = [(1, p, "call", f"c{p}", "add", '{"a": 1}', "") for p in range(n)] + [(c, p, "call", i, "add", "{}", "") for c in (2, None) for p, i in enumerate("xyzw")]
+    depends = [(1, f"c{p}", f"c{p - 1}") for p in range(1, n - 1)] + [(1, "c0", f"c{n - 1}")]
+    depends += [(c, a, b) for c in (2, None) for a, b in (("x", "y"), ("y", "x"), ("z", "y"))]
+    got = linked(spark, events, depends)
+    order = [r["call_id"] for r in sorted(got, key=lambda r: r["seq"]) if r["conv_id"] == 1]
+    assert order == [f"c{n - 1}", *[f"c{p}" for p in range(n - 1)]] and not any(r["cycle"] for r in got if r["conv_id"] == 1)
+    for c in (2, None):
+        assert [(r["call_id"], r["cycle"]) for r in sorted(got, key=lambda r: r["seq"]) if r["conv_id"] == c] == [("x", True), ("y", True), ("z", True), ("w", False)]
+
+
 def test_long_conversations_are_numbered(spark):
     rows = [(7, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(300)] + [(8, 0, "system", "s"), (8, 1, "user", ""), (8, 3, "user", None)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("status", F.lit("clash"))
