@@ -265,14 +265,14 @@ def _shape(column: str, expr: str) -> str:
     )
 
 
-def _enumeration() -> str:
+def _enumeration(limit: int = 100_000) -> str:
     ctes = (
         RAW
         + ", tg as (select v from (select distinct sha256(msisdn) as v from raw) order by md5('0:' || v), v limit 200)"
-        + ", cand as (select unnest(['+35840' || lpad(cast(i as varchar), 7, '0'), '35840' || lpad(cast(i as varchar), 7, '0')]) as c from range(100000) t(i))"
+        + f", cand as (select unnest(['+35840' || lpad(cast(i as varchar), 7, '0'), '35840' || lpad(cast(i as varchar), 7, '0')]) as c from range({limit}) t(i))"
         + ", hit as (select count(distinct sha256(c)) as n from cand where sha256(c) in (select v from tg))"
     )
-    return _with(ctes, f"select (select count(*) from tg) as targets, n as recovered, cast(200000 as bigint) as candidates, {_r('100000 / 1e7', 'space_covered')}, case when n > 0 then 'FAIL' else 'WARN' end as status from hit")
+    return _with(ctes, f"select (select count(*) from tg) as targets, n as recovered, cast({2 * limit} as bigint) as candidates, {_r(f'{limit} / 1e7', 'space_covered')}, case when n > 0 then 'FAIL' else 'WARN' end as status from hit")
 
 
 def _home_work() -> str:
@@ -669,6 +669,7 @@ def oracles() -> dict[str, str]:
         "identifier_scan": _with(RAW + _scan_ctes("raw"), f'select col as "column", pattern, {_r("share", "share", 4)} from scan where share > 0'),
         "pseudonym_shape": _with(RAW, _shape("msisdn", "msisdn") + " union all " + _shape("token", "sha256(msisdn)")),
         "pseudonym_enumeration": _enumeration(),
+        "pseudonym_enumeration_whole": _enumeration(3_000_000),
         "value_precision": _precision(RAW, "raw"),
         "value_precision_release": _precision(ANON, "anon"),
         "metric_relink": _with(_relink_ctes(), f"select variant, subscribers, {_r('top1', 'top1')}, {_r('top5', 'top5')} from relinked"),

@@ -105,6 +105,11 @@ def pseudonym_enumeration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.pseudonym_enumeration(_tokens(spark, sf_dir), "token", PREFIX, DIGITS, settings=Settings(max_candidates=CANDIDATES))
 
 
+def pseudonym_enumeration_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With as many candidates as the reference tries."""
+    return audit.pseudonym_enumeration(_tokens(spark, sf_dir), "token", PREFIX, DIGITS, settings=Settings())
+
+
 def unicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.trajectory_unicity(timed(spark, sf_dir), "msisdn", SETTINGS)
 
@@ -232,6 +237,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "identifier_scan": identifier_scan,
     "pseudonym_shape": pseudonym_shape,
     "pseudonym_enumeration": pseudonym_enumeration,
+    "pseudonym_enumeration_whole": pseudonym_enumeration_whole,
     "value_precision": value_precision,
     "value_precision_release": value_precision_release,
     "metric_relink": metric_relink,

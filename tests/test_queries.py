@@ -50,3 +50,12 @@ def test_entry(spark):
     df = __spark_entry__.entry(spark)
     assert "imei" in df.columns and not {"msisdn", "imsi"} & set(df.columns)
     assert set(SQL) <= set(__spark_entry__.oracle_sql()) and set(QUERIES) <= set(__spark_entry__.queries())
+
+
+def test_high_numbers_are_enumerated(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    events.withColumn("user_id", (F.col("user_id") + 2_500_000).cast(events.schema["user_id"].dataType)).write.parquet(f"{tmp_path}/events.parquet")
+    found = QUERIES["pseudonym_enumeration_whole"](spark, str(tmp_path)).first()
+    assert found["recovered"] == found["targets"] > 0 and found["candidates"] == 6_000_000 and found["status"] == "FAIL"
