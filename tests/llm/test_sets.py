@@ -199,6 +199,76 @@ def test_lines_against_all_pairs(docs_of, seed):
         assert got[i]["text"] == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in exact | near) and got[i]["n_lines"] == t.count("\n") + 1
 
 
+@given(st.lists(st.text(alphabet="ab ", min_size=1, max_size=24), min_size=16, max_size=24), st.integers(0, 4))
+@settings(max_examples=12, deadline=None)
+def test_distances_of_many_pairs(texts, edits):
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    want = [distance(texts[i], texts[j]) for i, j in zip(a.tolist(), b.tolist())]
+    assert lines.distances(texts, a, b, edits).tolist() == [d if d <= edits else -1 for d in want]
+
+
+def near_texts(n, seed):
+    """Distinct lines around one line, each two edits away from it at most, and some that only share its start."""
+    r = random.Random(seed)
+    base, out = "a line that stands in very many documents, hardly ever twice the same", set()
+    while len(out) < n:
+        line = list(base)
+        for _ in range(r.choice((0, 1, 1, 2, 2))):
+            at = r.randrange(len(line))
+            line[at : at + 1] = r.choice(([], [r.choice("xyz")], [line[at], r.choice("xyzé")]))
+        out.add("".join(line) if r.random() < 0.9 else base[:30] + "".join(r.choice("abcdefgh") for _ in range(40)))
+    return sorted(out, key=lambda x: r.random())
+
+
+def links_of(texts):
+    a, b = np.triu_indices(len(texts), 1)
+    near = lines.distances(texts, a, b, 2) > 0
+    a, b = np.concatenate([a[near], b[near]]), np.concatenate([b[near], a[near]])
+    low = np.full(len(texts), len(texts))
+    np.minimum.at(low, a, b)
+    return np.bincount(a, minlength=len(texts)), low
+
+
+def test_one_group_of_2000_near_lines(docs_of):
+    texts = near_texts(2000, 3)
+    many, low = links_of(texts)
+    some = random.Random(1).sample(range(2000), 40)
+    assert all(sum(0 < distance(texts[i], texts[j]) <= 2 for j in range(0, 2000, 50)) == sum(lines.within(texts[i], texts[j], 2) not in (None, 0) for j in range(0, 2000, 50)) for i in some[:4])
+    docs = docs_of(list(enumerate(texts)))
+    want = {i: (many[i], low[i] < i) for i in range(2000)}
+    for block in (lines.BLOCK, 300):
+        got = {r["h1"]: (r["links"], r["doc_id"]) for r in lines.near_lines(docs, block=block).collect()}
+        own = {lines._signed([lines._digest(t)[0]])[0].as_py(): i for i, t in enumerate(texts)}
+        assert {own[h]: x for h, x in got.items()} == {i: (many[i], low[i]) for i in range(2000) if many[i]}
+    got = {r["doc_id"]: r for r in lines.deduplicated_lines(docs).collect()}
+    assert {i: (r["n_links"], r["n_near"] == 1) for i, r in got.items()} == want
+
+
+def test_frequent_keys_meet_wherever_they_are_dealt(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lines, "_GATHER", 600)
+    monkeypatch.setattr(lines, "_OFTEN", 20)
+    monkeypatch.setattr(lines, "_COMPARED", 30)
+    monkeypatch.setattr(lines, "_HELD", 900)
+    texts = near_texts(250, 8) + ["".join(random.Random(i).choice("abcdefgh ") for _ in range(40)) for i in range(60)]
+    many, _ = links_of(texts)
+    deal = lambda some: list(lines._keys(32, 2, 4)(iter([pa.RecordBatch.from_pydict({"text": some})])))
+    rows = sorted((b, h) for part in (texts[:100], texts[100:], texts[:7]) for x in deal(part) for b, h in zip(*(c.to_pylist() for c in x.columns)))
+    assert any(b >= 4 for b, _ in rows)
+    met = list(lines._meet(2, 4)(iter([pa.RecordBatch.from_pydict({"bucket": [b for b, _ in rows], "held": [h for _, h in rows]})])))
+    members = {x for m in met for x in zip(*(c.to_pylist() for c in m.columns))}
+    at = {lines._digest(t)[0] >> 1: i for i, t in enumerate(texts)}
+    table = sorted((k, 0, 0, 0, at[line], 0, at[line], 0, texts[at[line]]) for k, line in members)
+    names = ["key", "one", "other", "block", "h1", "h2", "doc_id", "place", "text"]
+    found = lines._verifier(2, 32, 32, 4)(iter([pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*table)))))]))
+    got = Counter()
+    for x in found:
+        for i, n in zip(x.column("h1").to_pylist(), x.column("links").to_pylist()):
+            got[i] += n
+    assert got == Counter({i: n for i, n in enumerate(many.tolist()) if n})
+
+
 def test_lines_of_odd_rows(odd, none, docs_of):
     got = lines.deduplicated_lines(odd).collect()
     assert len(got) == 13 and {r["text"] for r in got if r["doc_id"] == 1} == {None}
