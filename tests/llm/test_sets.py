@@ -376,7 +376,78 @@ def test_passages_shared_with_others_than_the_first(docs_of):
     assert got == {(i, 2, phrase + " " + long) for i in (2, 3)}
 
 
+def plain_passages(rows, words):
+    """Every row of repeated_passages, by the definition."""
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0], k))
+    spans = {k: [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (rows[k][1] or "").encode())] for k in order}
+    stands = defaultdict(list)
+    for k in order:
+        data = (rows[k][1] or "").encode()
+        for n in range(len(spans[k]) - words + 1):
+            a, b = spans[k][n][0], spans[k][n + words - 1][1]
+            stands[data[a:b]].append((k, n, a, b))
+    shared = defaultdict(dict)
+    for places in stands.values():
+        for place in places if len(places) > 1 else ():
+            shared[place[0]][place[1]] = (place[2], place[3], rows[places[0][0]][0], place != places[0])
+    out = []
+    for k, found in shared.items():
+        for n in sorted(found):
+            a, b, first, later = found[n]
+            if n - 1 in found:
+                a0, _, count, first0, later0 = out[-1][1]
+                out[-1] = (k, (a0, b, count + 1, min(first, first0), later or later0))
+            else:
+                out.append((k, (a, b, 1, first, later)))
+    return Counter((rows[k][0], a, b - a, n, first, later) for k, (a, b, n, first, later) in out)
+
+
+@pytest.mark.parametrize("words", [7, 51])
+def test_passages_against_every_stretch(docs_of, words):
+    r = random.Random(words)
+    prose = lambda n: " ".join("".join(r.choice("abcdé") for _ in range(r.randrange(1, 7))) for _ in range(n))
+    shared = [prose(r.choice((words - 1, words, words + 20, 3 * words))) for _ in range(12)]
+    rows = []
+    for i in range(150):
+        text = " ".join(x for _ in range(r.randrange(1, 4)) for x in (prose(r.randrange(5, 60)), r.choice(shared)))
+        rows.append((i // 2 if i % 9 == 0 else i, text))
+    rows += [(500 + k, rows[k % 7][1]) for k in range(20)] + [rows[3], rows[3], (900, shared[2] + " " + shared[2])]
+    docs = docs_of(rows)
+    got = Counter((x["doc_id"], x["start"], x["length"], x["n_chunks"], x["first_doc_id"], x["repeat"]) for x in chunks.repeated_passages(docs, words=words).collect())
+    # Rows equal in id have no order of their own: whole rows with other texts can only differ in what is earlier.
+    assert got == plain_passages(rows, words) or {x[:5] for x in got} == {x[:5] for x in plain_passages(rows, words)}
+    assert {x for x in got if x[0] > 200} == {x for x in plain_passages(rows, words) if x[0] > 200}
+    clean = [(x["doc_id"], x["text"]) for x in chunks.without_repeated_passages(docs, words=words).collect()]
+    left = {i: t for i, t in clean}
+    assert left[1] == dict(rows)[1] or not any(x[0] == 1 and not x[5] for x in got)
+    assert not {i for i in left if 500 <= i < 520} and all(" ".join(t.split()) for _, t in clean)
+    whole = " ".join(t for _, t in sorted(clean, key=lambda x: x[0]))
+    assert all(x in whole for x in shared if len(x.split()) >= words and any(x in t for _, t in rows))
+
+
+def test_frequent_stretches_meet_wherever_they_are_dealt(monkeypatch):
+    import pyarrow as pa
+
+    for name, value in (("_OFTEN", 4), ("_MANY", 6), ("_TOGETHER", 400), ("_HELD", 300)):
+        monkeypatch.setattr(chunks, name, value)
+    r = random.Random(2)
+    prose = lambda n: " ".join(f"w{r.randrange(100_000)}" for _ in range(n))
+    often = prose(60)
+    texts = [prose(20) + " " + (often if i % 3 else prose(55)) for i in range(60)]
+    codec = pa.Codec("zstd", 1)
+    part = lambda some: pa.RecordBatch.from_pydict({"doc_id": some, "k1": some, "size": [len(texts[i]) for i in some], "packed": [codec.compress(texts[i].encode(), asbytes=True) for i in some], "digests": [[] for _ in some], "copies": [1] * len(some)}, schema=pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("size", pa.int64()), ("packed", pa.binary()), ("digests", pa.list_(pa.int64())), ("copies", pa.int64())]))
+    rows = sorted((b, h) for some in (range(0, 25), range(25, 60)) for x in chunks._stretched(51, 3)(iter([part(list(some))])) for b, h in zip(*(c.to_pylist() for c in x.columns)))
+    assert any(b >= 3 for b, _ in rows)
+    monkeypatch.setattr(chunks, "stretches", None)
+    out = [x for batch in chunks._alike(3)(iter([pa.RecordBatch.from_pydict({"bucket": [b for b, _ in rows], "held": [h for _, h in rows]})])) for x in batch.to_pylist()]
+    firsts = [(x["h1"], x["h2"]) for x in out if x["kind"] == chunks._FIRST]
+    assert len(firsts) == len(set(firsts)) and {(x["h1"], x["h2"]) for x in out if x["kind"] == chunks._OTHER} <= set(firsts)
+    assert Counter((x["doc_id"], x["later"]) for x in out) == Counter({(i, i != 1): 10 for i in range(60) if i % 3})
+
+
 def test_passages_of_odd_rows(odd, none):
+    assert chunks.without_repeated_passages(odd).columns == odd.columns and chunks.without_repeated_passages(none).count() == 0
+    assert Counter(r["doc_id"] for r in chunks.without_repeated_passages(odd).collect()) == Counter({i: 1 for i in (1, 2, 3, 4, 5, 6, 8)} | {7: 2, 9: 2, None: 2})
     got = {r["doc_id"] for r in chunks.repeated_passages(odd).collect()}
     assert {5, 6} <= got and not got & {1, 2, 3, 4}
     assert chunks.repeated_passages(none).count() == 0
