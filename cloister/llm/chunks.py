@@ -260,6 +260,8 @@ def _by_digest(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def _without_frequent(records: np.ndarray, often: int) -> tuple[np.ndarray, np.ndarray]:
     """Records, of which digests that have so many keep the first; and the others of these digests."""
+    if not len(records):
+        return records, records
     records, first, size = _by_digest(records)
     head = np.zeros(len(records), bool)
     head[first] = True

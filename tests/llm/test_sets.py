@@ -435,14 +435,16 @@ def test_frequent_stretches_meet_wherever_they_are_dealt(monkeypatch):
     often = prose(60)
     texts = [prose(20) + " " + (often if i % 3 else prose(55)) for i in range(60)]
     codec = pa.Codec("zstd", 1)
-    part = lambda some: pa.RecordBatch.from_pydict({"doc_id": some, "k1": some, "size": [len(texts[i]) for i in some], "packed": [codec.compress(texts[i].encode(), asbytes=True) for i in some], "digests": [[] for _ in some], "copies": [1] * len(some)}, schema=pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("size", pa.int64()), ("packed", pa.binary()), ("digests", pa.list_(pa.int64())), ("copies", pa.int64())]))
+    part = lambda some: pa.RecordBatch.from_pydict({"doc_id": some, "k1": some, "size": [len(texts[i]) for i in some], "packed": [codec.compress(texts[i].encode(), asbytes=True) for i in some], "digests": [chunks.anchors(texts[i].encode())[0].view(np.int64).tolist() for i in some], "copies": [1] * len(some)}, schema=pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("size", pa.int64()), ("packed", pa.binary()), ("digests", pa.list_(pa.int64())), ("copies", pa.int64())]))
     rows = sorted((b, h) for some in (range(0, 25), range(25, 60)) for x in chunks._stretched(51, 3)(iter([part(list(some))])) for b, h in zip(*(c.to_pylist() for c in x.columns)))
     assert any(b >= 3 for b, _ in rows)
-    monkeypatch.setattr(chunks, "stretches", None)
     out = [x for batch in chunks._alike(3)(iter([pa.RecordBatch.from_pydict({"bucket": [b for b, _ in rows], "held": [h for _, h in rows]})])) for x in batch.to_pylist()]
     firsts = [(x["h1"], x["h2"]) for x in out if x["kind"] == chunks._FIRST]
     assert len(firsts) == len(set(firsts)) and {(x["h1"], x["h2"]) for x in out if x["kind"] == chunks._OTHER} <= set(firsts)
     assert Counter((x["doc_id"], x["later"]) for x in out) == Counter({(i, i != 1): 10 for i in range(60) if i % 3})
+    alone = pa.RecordBatch.from_pydict({"doc_id": [1], "k1": [1], "size": [len(texts[0])], "packed": [codec.compress(texts[0].encode(), asbytes=True)], "digests": pa.array([None], pa.list_(pa.int64())), "copies": [2]})
+    whole = [np.frombuffer(h, chunks._STRETCH) for x in chunks._stretched(51, 3)(iter([alone])) for h in x.column("held").to_pylist()]
+    assert [(x["kind"], x["nth"], x["start"], x["end"]) for h in whole for x in h] == [(chunks._WHOLE, 25, 0, len(texts[0]))]
 
 
 def test_passages_of_odd_rows(odd, none):
