@@ -197,9 +197,9 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     small_batches(spark)
     low = -(2**63)
     keyed = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(low)).alias("key"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(low)).alias("key"),
+        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
     n = keyed.count()
     ranges = int(min(10_000, max(1, n // rows_per_bucket)))

@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     small_batches(spark)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumn("th", F.xxhash64("text"))
     signed = staged(source.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_signer(words), _SIGNED), "signed")
     full = signed.filter("n_shingles > 0")
     # Aggregates that are joined back are written first: then both sides are plain exchanges, of which Spark can split hot keys.

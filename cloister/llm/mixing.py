@@ -1,9 +1,11 @@
 """Mixing sources to target weights, with DataFrame and SQL functions only.
 
 Each source's words, its documents in a row, are cut into blocks of a fixed length. The output is dealt in shards; every
-shard draws from a multinomial how many of its slots each source gets (the whole part of the expected count is given, the
-rest is drawn). A source's slots, counted through the shards, are mapped to its blocks by a pseudorandom permutation of
-the block numbers, one for each pass over the source, and slots and blocks are joined by number. A source whose target is
+shard draws from a multinomial how many of its slots each source gets, in the residual form: the whole part of the expected
+count is given and the slots left are drawn, each independently, by the fractional parts. Expected counts are the same as
+those of plain draws, and a source's sum strays by a few blocks instead of the root of its slots. A source's slots, counted
+through the shards, are mapped to its blocks by a pseudorandom permutation of the block numbers, one for each pass over the
+source, and slots and blocks are joined by number. Slots are made by (source, group of shards), never by source. A source whose target is
 ``cap`` times its size is passed over ``cap`` times, so no document is taken more often.
 """
 
@@ -14,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, staged, word_count
 
-#: Multipliers of the permutations: primes, of which the first that doesn't divide the number of blocks is used.
-_PRIMES = (7368787, 15485863, 32452843, 49979687, 67867967, 86028121)
+#: Rounds of the permutations; shards whose slots are made together.
+_ROUNDS, _SHARDS = 5, 1024
 
 
 def _uniform(*keys: Column) -> Column:
@@ -57,30 +59,49 @@ def _uses(plan: DataFrame, slots: int, shards: int, seed: int) -> DataFrame:
     """(si, block, uses): which blocks of each source the output's slots take. plan: si, n_blocks, share."""
     per = -(-slots // shards)
     plan = _cut_counts(_cut_counts(plan, F.lit(per), "most"), F.lit(slots - per * (shards - 1)), "last")
-    rows = plan.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    rows = plan.withColumn("some", F.explode(F.sequence(F.lit(0), F.lit((shards - 1) // _SHARDS)))).repartition("si", "some")
+    last = F.least(F.col("some") * _SHARDS + _SHARDS - 1, F.lit(shards - 1))
+    rows = rows.withColumn("shard", F.explode(F.sequence(F.col("some") * _SHARDS, last)))
 
     def pick(what: str) -> Column:
         return F.when(F.col("shard") == shards - 1, F.col(f"{what}_last")).otherwise(F.col(f"{what}_most"))
 
-    rows = rows.select("si", "n_blocks", "shard", pick("whole").alias("whole"), pick("part").alias("part"), pick("from").alias("from"), pick("parts").alias("parts"))
+    rows = rows.select("si", "n_blocks", "some", "shard", pick("whole").alias("whole"), pick("part").alias("part"), pick("from").alias("from"), pick("parts").alias("parts"))
     # As many draws as parts are left in the shard: each falls into one source's stretch.
     draws = F.sequence(F.lit(1), F.round("parts").cast("int"))
     drawn = F.size(F.filter(draws, lambda i: (u := _uniform(F.lit(seed), F.col("shard"), i) * F.col("parts")).__ge__(F.col("from")) & (u < F.col("from") + F.col("part"))))
     rows = rows.withColumn("n", F.col("whole") + F.when(F.round("parts") >= 1, drawn).otherwise(0))
-    before = Window.partitionBy("si").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("slot", F.coalesce(F.sum("n").over(before), F.lit(0))).filter("n > 0")
+    # Slots before a shard: those of the groups of shards before its own, and those before it in the group.
+    sums = rows.groupBy("si", "some").agg(F.sum("n").alias("sum"))
+    before = Window.partitionBy("si").orderBy("some").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("si", "some", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
+    inner = Window.partitionBy("si", "some").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("slot", F.coalesce(F.sum("n").over(inner), F.lit(0))).filter("n > 0").join(sums, ["si", "some"])
     # The counts of a shard are the numbers of its slots in each source.
-    taken = rows.select("si", "n_blocks", F.explode(F.sequence(F.col("slot"), F.col("slot") + F.col("n") - 1)).alias("slot"))
-    return taken
+    first = F.col("base") + F.col("slot")
+    return rows.select("si", "n_blocks", F.explode(F.sequence(first, first + F.col("n") - 1)).alias("slot"))
 
 
-def _permuted(slot: Column, n: Column, si: Column, seed: int) -> Column:
-    turn = F.floor(slot / n)
-    k = F.pmod(F.xxhash64(F.lit(seed), si, turn), F.lit(len(_PRIMES))).cast("int")
-    primes = F.array(*[F.lit(p) for p in _PRIMES])
-    by = F.element_at(primes, k + 1)
-    by = F.when(n % by != 0, by).otherwise(F.element_at(F.filter(primes, lambda p: n % p != 0), 1)).cast("long")
-    return F.pmod(by * F.pmod(slot, n) + F.pmod(F.xxhash64(si, turn, F.lit(seed + 1)), n), n)
+def permuted(slots: DataFrame, seed: int) -> DataFrame:
+    """Rows (si, n_blocks, slot) as (si, block, turn): each pass over a source is a permutation of its blocks of its own.
+
+    A round mixes the numbers under the largest power of two in n, by shifts and an odd factor, and turns all n numbers by
+    an offset, so that the rest is mixed in the next. No product is over 62 bits, up to 2**61 blocks.
+    """
+    n, bits, m = F.col("n_blocks"), F.col("__bits"), F.col("__m")
+    rows = slots.withColumn("turn", F.expr("slot div n_blocks")).withColumn("__bits", F.length(F.bin(n)) - 1).withColumn("__m", F.expr("shiftleft(1L, __bits)"))
+
+    def mixed(x: Column, h: Column) -> Column:
+        folded = x.bitwiseXOR(F.call_function("shiftright", x, F.greatest(F.lit(1), F.floor((bits + 1) / 2)).cast("int")))
+        factor = h.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(61) - bits) - 1).bitwiseOR(F.lit(1).cast("long"))
+        return F.pmod(F.when(x < m, (folded * factor).bitwiseAND(m - 1)).otherwise(x) + F.pmod(F.xxhash64(h), n), n)
+
+    # A lambda's variables are taken once, however often they are named.
+    def once(x: Column, k: Column) -> Column:
+        return F.element_at(F.transform(F.array(F.xxhash64(F.lit(seed), F.col("si"), F.col("turn"), k)), lambda h: mixed(x, h)), 1)
+
+    rounds = F.array(*[F.lit(k) for k in range(_ROUNDS)])
+    return rows.select("si", F.aggregate(rounds, F.pmod(F.col("slot"), n), once).alias("block"), "turn")
 
 
 def mix_plan(rows: DataFrame, weights: tuple[float, ...], share: float, cap: float, block: int, shard_slots: int, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -94,13 +115,13 @@ def mix_plan(rows: DataFrame, weights: tuple[float, ...], share: float, cap: flo
     known = rows.join(plan.select("source", "si", "source_size", "target"), rows["source"].eqNullSafe(plan["source"])).drop(plan["source"])
     if not slots:
         return known, known.select("row", F.lit(0).cast("long").alias("turn"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("length")).limit(0)
-    shards = max(1, -(-slots // max(shard_slots, -(-slots // 10_000))))
+    shards = -(-slots // shard_slots)
     share_of = plan.filter("wanted > 0").select("si", "n_blocks", (F.col("wanted") / F.sum("wanted").over(Window.partitionBy(F.lit(0)))).alias("share"))
     taken = _uses(share_of, slots, shards, seed).filter(F.col("slot") < F.col("n_blocks") * int(cap))
-    taken = taken.select("si", _permuted(F.col("slot"), F.col("n_blocks"), F.col("si"), seed).alias("block"), F.floor(F.col("slot") / F.col("n_blocks")).alias("turn"))
+    taken = permuted(taken, seed)
     # Where each row stands in its source: sums by bucket, then within the bucket, so that no source is one task's.
     buckets = max(1, n_rows // 2_000)
-    dealt = known.filter("size > 0").select("row", "si", "size", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket"))
+    dealt = known.filter("size > 0").select("row", "si", "size", "doc_id", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)).alias("bucket"))
     sums = dealt.groupBy("si", "bucket").agg(F.sum("size").alias("n"))
     sums = sums.select("si", "bucket", (F.sum("n").over(Window.partitionBy("si").orderBy("bucket")) - F.col("n")).alias("base"))
     # Rows equal in id and size can change places without changing what the mix takes of each.
@@ -116,7 +137,7 @@ def mix_plan(rows: DataFrame, weights: tuple[float, ...], share: float, cap: flo
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), word_count(F.col(f"`{text_col}`")).alias("size"))
 
 
 def mix(

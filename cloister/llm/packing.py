@@ -237,7 +237,7 @@ def pack(
     on each executor.
     """
     small_batches(docs.sparkSession)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     pieces = staged(source.mapInArrow(_cutter(capacity, end_id, tokenizer_path), _PIECES), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -254,6 +254,37 @@ def test_mix_meets_its_targets(spark):
     assert Counter(map(tuple, got)) == Counter(map(tuple, mixing.mix(df).collect()))
 
 
+def test_permutations_of_blocks(spark):
+    for n in (1, 2, 3, 7, 64, 100, 1000, 4097):
+        rows = spark.range(2 * n).select((F.col("id") % 2).cast("int").alias("si"), F.lit(n).cast("long").alias("n_blocks"), F.col("id").alias("slot"))
+        rows = rows.union(rows.withColumn("si", 1 - F.col("si")))
+        got = defaultdict(list)
+        for r in mixing.permuted(rows, 5).collect():
+            got[r["si"], r["turn"]].append(r["block"])
+        assert len(got) == 4 and all(sorted(x) == list(range(n)) for x in got.values())
+        assert n < 1000 or len({tuple(x) for x in got.values()}) == 4
+    n = 200_000_000_000
+    rows = spark.range(0, 2 * n, n // 1000 + 1).union(spark.range(n - 3000, n)).select(F.lit(3).alias("si"), F.lit(n).alias("n_blocks"), F.col("id").alias("slot"))
+    got = mixing.permuted(rows, 5).collect()
+    assert len({(r["turn"], r["block"]) for r in got}) == len(got) and all(0 <= r["block"] < n for r in got)
+    near = [r["block"] for r in got[-3000:]]
+    steps = np.diff(np.array(near))
+    assert len(set(steps.tolist())) > 2900 and abs(np.mean(near) / n - 0.5) < 0.05 and np.mean(np.abs(steps) < n // 100) < 0.1
+
+
+def test_counts_of_shards(spark):
+    plan = spark.createDataFrame([(0, 50_000, 0.5017), (1, 50_000, 0.3001), (2, 50_000, 0.1979), (3, 50_000, 0.0003)], "si int, n_blocks long, share double")
+    shards, per = 2500, 10
+    got = mixing._uses(plan, shards * per, shards, 7).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r["si"]].append(r["slot"])
+    assert sum(map(len, by.values())) == shards * per and all(sorted(x) == list(range(len(x))) for x in by.values())
+    for si, share in ((0, 0.5017), (1, 0.3001), (2, 0.1979), (3, 0.0003)):
+        part = per * share % 1
+        assert abs(len(by[si]) - shards * per * share) < 4 * (shards * 2 * part) ** 0.5 + 1
+
+
 def test_mix_is_native(spark):
     plan = mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
