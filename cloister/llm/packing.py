@@ -4,9 +4,9 @@ Documents become pieces of at most ``capacity`` tokens. Packing needs only how m
 of at most ``capacity`` entries, so the plan is made on the driver from that bounded table and pieces find their places
 by their rank within their length.
 
-The plan: lengths are indexed by what single, pair and triple sums they make. From the longest down, the gap that a
-length leaves is filled exactly by one, two or three other lengths, as often as the counts of all of them allow. What no
-combination completes goes by best fit decreasing, over groups of equal sequences.
+The plan: lengths are indexed by what single, pair and triple sums they make. The gap that a length leaves is filled exactly
+by one other length, by two or by three, as often as the counts of all of them allow. What no combination completes goes by
+best fit decreasing, over groups of equal sequences.
 """
 
 from __future__ import annotations
@@ -129,19 +129,57 @@ def _cutter(capacity: int, end_id: int, path: str | None):
     return cut
 
 
-#: Lengths in an exact complement, at most, and the smallest of a pair or triple: what the plans differ in.
-_VARIANTS = ((3, 1), (2, 1), (1, 1), (3, 64), (2, 64), (3, 128), (2, 128), (3, 200), (2, 200), (3, 256), (2, 300))
+class Sums:
+    """An index of the lengths that are left by the sums that one, two and three of them make.
+
+    ``pairs[s]`` holds the longer length of every pair of sum s, ``triples[s]`` the longest of every triple (its other two
+    are a pair of the rest), the longer ones first. Entries whose lengths have run out are skipped, and dropped where one of
+    them is gone for good.
+    """
+
+    def __init__(self, left: np.ndarray, least: int = 1):
+        self.left, n = left, len(left)
+        there = np.flatnonzero(left)[::-1]
+        there = there[there >= least]
+        self.pairs: list[list[int]] = [[] for _ in range(n)]
+        for b in there.tolist():
+            for c in there[(there <= b) & (there + b < n)].tolist():
+                self.pairs[b + c].append(b)
+        some = np.array([bool(x) for x in self.pairs])
+        self.triples = [there[(there < s) & some[np.maximum(s - there, 0)]].tolist() for s in range(n)]
+
+    def enough(self, lengths: list[int]) -> bool:
+        return all(self.left[x] >= lengths.count(x) for x in lengths)
+
+    def filling(self, gap: int, k: int, held: list[int]) -> list[int] | None:
+        """``k`` lengths of that sum, none longer than the first held one, that are there beside the held ones."""
+        left = self.left
+        if k == 1:
+            return [gap] if 0 < gap <= held[0] and self.enough([*held, gap]) else None
+        if k == 2:
+            self.pairs[gap] = [b for b in self.pairs[gap] if left[b] and left[gap - b]]
+            for b in self.pairs[gap]:
+                if b <= held[0] and self.enough([*held, b, gap - b]):
+                    return [b, gap - b]
+            return None
+        self.triples[gap] = [b for b in self.triples[gap] if left[b]]
+        for b in self.triples[gap]:
+            if b <= held[0] and 3 * b >= gap and self.enough([*held, b]) and (rest := self.filling(gap - b, 2, [b, *held[1:], held[0]])):
+                return [b, *rest]
+        return None
 
 
-def plan_packing(counts: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
-    """(how many sequences, lengths in each) that use up ``counts``: the best of the plans that fill gaps exactly with up to
-    three, two or one other lengths. Triples use up the small lengths early, which helps where there are many of them."""
-    plans = [_plan(counts, capacity, most, least) for most, least in _VARIANTS]
-    return min(plans, key=lambda plan: sum(n for n, _ in plan))
+def plan_packing(counts: dict[int, int], capacity: int, reserve: float = 0.02) -> list[tuple[int, list[int]]]:
+    """(how many sequences, lengths in each) that use up ``counts``: with gaps filled by up to one, two or three lengths,
+    whichever needs the fewest. Many lengths in a gap use up small ones early, which helps where there are many of them; the
+    smallest, those that hold a share ``reserve`` of all tokens, are in no pair or triple and left for best fit."""
+    return min((_plan(counts, capacity, most, reserve) for most in (1, 2, 3)), key=lambda plan: sum(n for n, _ in plan))
 
 
-def _plan(counts: dict[int, int], capacity: int, most: int, least: int = 1) -> list[tuple[int, list[int]]]:
-    """Exact complements of up to ``most`` lengths, in pairs and triples none under ``least``, first, then best fit."""
+def _plan(counts: dict[int, int], capacity: int, most: int, reserve: float) -> list[tuple[int, list[int]]]:
+    """From the longest length down, gaps are filled exactly by single lengths, then, in a second pass, by pairs, then by
+    triples. What no combination completes goes by best fit decreasing, over groups of equal sequences: a length goes where
+    it leaves no room, or else where one or two others that are left fill the rest, or else where it leaves least room."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -156,43 +194,22 @@ def _plan(counts: dict[int, int], capacity: int, most: int, least: int = 1) -> l
             left[x] -= n * k
         plan.append((n, lengths))
 
-    def enough(lengths: list[int]) -> bool:
-        return all(left[x] >= lengths.count(x) for x in lengths)
-
-    def pair(total: int, longest: int, held: list[int]) -> list[int] | None:
-        """The two lengths of that sum, the longer as long as can be, that are there beside the held ones."""
-        high = min(longest, total - least)
-        low = (total + 1) // 2
-        if high < low:
-            return None
-        longer = np.arange(high, low - 1, -1)
-        for b in longer[(left[longer] > 0) & (left[total - longer] > 0)].tolist():
-            if enough([*held, b, total - b]):
-                return [b, total - b]
-        return None
-
-    for a in range(capacity, 0, -1):
-        gap = capacity - a
-        if gap == 0:
-            if left[a]:
-                take([a])
-            continue
-        while left[a] and gap <= a and enough([a, gap]):
-            take([a, gap])
-        while most > 1 and left[a] and (found := pair(gap, a, [a])):
-            take([a, *found])
-        for b in range(min(a, gap - 2), (gap + 2) // 3 - 1, -1) if most > 2 else ():
-            while left[a] and left[b] and enough([a, b]) and (found := pair(gap - b, b, [a, b])):
-                take([a, b, *found])
-            if not left[a]:
-                break
+    if left[capacity]:
+        take([capacity])
+    tokens = np.cumsum(left * np.arange(capacity + 1))
+    sums = Sums(left, int(np.searchsorted(tokens, reserve * tokens[-1], side="right")))
+    for k in range(1, most + 1):
+        for a in range(capacity - 1, 0, -1):
+            while left[a] and (found := sums.filling(capacity - a, k, [a])):
+                take([a, *found])
 
     #: By room: groups of equal sequences that have that room.
     open_: dict[int, list[tuple[int, list[int]]]] = {}
     for a in range(capacity, 0, -1):
-        n = int(left[a])
+        n, left[a] = int(left[a]), 0
         while n:
-            room = min((r for r in open_ if r >= a), default=None)
+            rooms = sorted(r for r in open_ if r >= a)
+            room = next((r for r in rooms if r == a or (r < 2 * a and any(sums.filling(r - a, k, [a]) for k in (1, 2)))), rooms[0] if rooms else None)
             if room is None:
                 fits = capacity // a
                 full, rest = divmod(n, fits)
