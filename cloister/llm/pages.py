@@ -2,10 +2,14 @@
 
 The standard library's parser streams a page's events. Text between block elements makes a line, with as many tags as
 came with it; the ratios of text to tags, smoothed with a Gaussian, are clustered by a threshold, their standard
-deviation. Lines over it are content, and so are the other lines of the same container: the outermost article or main
-element, or else the nearest division. Parts that are never content, whatever their ratio, count as lines without text:
-menus, headers and footers of the page, sidebars, notices, adverts, forms, scripts, styles and reader comments. Where a
-page has an article or main element with text, nothing outside them is content.
+deviation. Lines over it that are
+no links for the most part are content and choose the regions: structure only says where a region ends. Regions are article
+and main elements, of which those with a content line are taken whole, or, where none has any, the smallest division that
+holds most of the content, without its parts that are links for the most part.
+
+Parts that are never content, whatever their ratio, count as lines without text: menus, headers and footers of the page,
+sidebars, notices, adverts, forms, scripts, styles and reader comments, told by element or role, or by a class or id that
+says nothing else. Inside an article, paragraphs, headings and inline elements are text whatever they are called, adverts apart.
 """
 
 from __future__ import annotations
@@ -30,8 +34,13 @@ _NAMES = frozenset(
     " sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments disqus respond replies share sharing social related"
     " recommended subscribe subscription newsletter signup popup modal overlay toolbar pagination pager widget widgets form search login skip".split()
 )
+#: Words that say nothing of what a part is, beside one of the names.
+_NEUTRAL = frozenset("area bar block body bottom box container content group inner item items left link links list main outer page post posts article articles region right section site slot text title top unit wrap wrapper".split())
+_ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo".split())
 _KEEP = frozenset("html body main article".split())
 _SECTIONS = frozenset("div section td body html table center".split())
+#: Elements that hold text of their own, not parts of a page.
+_TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figcaption caption summary address tr td th".split())
 _CLOSED_BY = {"p": _INLINE, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"]), "tr": frozenset(["tr"])}
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _SPACE = re.compile(r"\s+")
@@ -40,8 +49,8 @@ _REACH = 3
 _KERNEL = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(-_REACH, _REACH + 1)]
 
 
-def _named_away(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether an element's attributes say that it is no part of the article."""
+def _named_away(tag: str, attrs: list[tuple[str, str | None]], inside: bool = False) -> bool:
+    """Whether an element's attributes say that it is no part of the article: by all words of a class or id together."""
     for name, value in attrs:
         if name == "hidden":
             return True
@@ -50,39 +59,46 @@ def _named_away(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if name == "role" and value.lower() in _ROLES:
             return tag not in _KEEP
         if name in ("class", "id"):
-            words = {w.lower() for w in _WORDS.findall(value)}
-            if tag in _KEEP:
-                if tag == "article" and words & {"comment", "comments"}:
+            names = _ADVERTS if inside and (tag in _TEXT or tag in _INLINE) else _NAMES
+            for token in value.split():
+                words = {w.lower() for w in _WORDS.findall(token) if not w.isdigit()}
+                if tag in _KEEP:
+                    if tag == "article" and words & {"comment", "comments"}:
+                        return True
+                elif words & names and words <= names | _NEUTRAL:
                     return True
-            elif words & _NAMES:
-                return True
     return False
 
 
 class Lines(HTMLParser):
-    """The lines of a page: [text, tags, container, excluded]; container is above 0 inside an article or main element."""
+    """The lines of a page: (text, tags, container, characters of links). A container is above 0 for an article or main
+    element, else below 0 for a division, or 0; ``within`` has the division
+    around each division, ``whole`` those that are the page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.within: dict[int, int] = {}
+        self.whole = {0}
         self.open: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]  # tag, excluded, container, in an article
         self.text: list[str] = []
         self.tags = 0
         self.containers = 0
+        self.linked = 0
 
     def _flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         _, excluded, container, _ = self.open[-1]
         if text or self.tags:
-            self.lines.append(("" if excluded else text, self.tags, container))
-        self.text, self.tags = [], 0
+            self.lines.append(("" if excluded else text, self.tags, container, min(self.linked, len(text))))
+        self.text, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in _INLINE and tag not in ("td", "th"):
             self.tags += 1
             if tag == "br":
                 self.text.append(" ")
-            elif tag not in _VOID and attrs and _named_away(tag, attrs):
+            elif tag not in _VOID and attrs and _named_away(tag, attrs, self.open[-1][3]):
                 self._push(tag, True)
             elif tag not in _VOID:
                 top = self.open[-1]
@@ -112,7 +128,7 @@ class Lines(HTMLParser):
         if tag in _VOID:
             return
         inside = self.open[-1][3]
-        away = tag in _NEVER or (tag == "header" and not inside) or bool(attrs and _named_away(tag, attrs))
+        away = tag in _NEVER or (tag == "header" and not inside) or bool(attrs and _named_away(tag, attrs, inside))
         self._push(tag, away)
 
     def _push(self, tag: str, away: bool) -> None:
@@ -125,7 +141,10 @@ class Lines(HTMLParser):
                 container, inside = self.containers, True
             elif tag in _SECTIONS:
                 self.containers += 1
+                self.within[-self.containers] = container
                 container = -self.containers
+                if tag in ("html", "body"):
+                    self.whole.add(container)
         self.open.append((tag, excluded or away, container, inside))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -151,8 +170,10 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.open[-1][1]:
             self.text.append(data)
+            if any(x[0] == "a" for x in self.open[-3:]):
+                self.linked += len(data)
 
-    def finished(self) -> list[tuple[str, int, int]]:
+    def finished(self) -> list[tuple[str, int, int, int]]:
         self.close()
         self._flush()
         return self.lines
@@ -175,17 +196,52 @@ def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html)
     lines = parser.finished()
-    if any(text and container > 0 for text, _, container in lines):
-        lines = [(text if container > 0 else "", tags, container) for text, tags, container in lines]
-    ratios = smoothed([len(text) / max(1, tags) for text, tags, _ in lines])
-    if not ratios:
+    if not any(text for text, *_ in lines):
         return ""
+    ratios = smoothed([len(text) / max(1, tags) for text, tags, *_ in lines])
     mean = sum(ratios) / len(ratios)
     threshold = math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
-    content = {container for (text, _, container), r in zip(lines, ratios) if text and r >= threshold}
-    if not content:  # whatever has most text
-        content = {max(((len(text), container) for text, _, container in lines if text), default=(0, 0))[1]}
-    return "\n\n".join(text for text, _, container in lines if text and container in content)
+    content = [2 * line[3] < len(line[0]) and r >= threshold for line, r in zip(lines, ratios)]
+    if not any(content):  # whatever has most text
+        most = max(len(line[0]) for line in lines)
+        content = [len(line[0]) == most for line in lines]
+    articles = {line[2] for line, c in zip(lines, content) if c and line[2] > 0}
+    if articles:
+        return "\n\n".join(line[0] for line in lines if line[0] and line[2] in articles)
+    return "\n\n".join(_of_divisions([line if line[2] <= 0 else ("", *line[1:]) for line in lines], content, parser.within, parser.whole))
+
+
+def _of_divisions(lines: list[tuple[str, int, int, int]], content: list[bool], within: dict[int, int], pages: set[int]) -> list[str]:
+    """The texts of the smallest division that holds three quarters of the content (or, as long as those around it have lines
+    of their own, as headings are, the outermost of these, but never the page for a division of it), without its divisions that have no
+    content line and are links for the most part. Of the page as a whole, divisions without a content line go, too."""
+    held: dict[int, int] = {}
+    text: dict[int, int] = {}
+    links: dict[int, int] = {}
+    for (x, _, at, linked), c in zip(lines, content):
+        while True:
+            held[at] = held.get(at, 0) + (len(x) if c else 0)
+            text[at] = text.get(at, 0) + len(x)
+            links[at] = links.get(at, 0) + linked
+            if at not in within:
+                break
+            at = within[at]
+    whole = max(held.values())
+    # Numbers of divisions fall from the outer to the inner.
+    main = min(at for at, n in held.items() if 4 * n >= 3 * whole)
+    own = {line[2] for line in lines if line[0]}
+    while main not in pages and within[main] not in pages and within[main] in own:
+        main = within[main]
+    out = []
+    for x, _, at, _ in lines:
+        steps = [at]
+        while steps[-1] != main and steps[-1] in within:
+            steps.append(within[steps[-1]])
+        if not x or steps[-1] != main:
+            continue
+        if all(held[s] or (main not in pages and 2 * links[s] < text[s]) for s in steps[:-1]):
+            out.append(x)
+    return out
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -147,6 +147,31 @@ def test_pages(inner, want):
     assert pages.main_text(PAGE % inner) == want
 
 
+LONG = "A sentence of the article that has many words and hardly any tags, as sentences of articles do. " * 2
+
+
+def test_names_take_nothing_from_an_article():
+    inner = f'<h2 id="sharing-data">Sharing data</h2><section id="search-algorithms"><p>{LONG}</p></section><p class="notice">A notice of the text.</p><div class="related-work"><p>Work that is related.</p></div><p>By <span class="form">form</span> alone.</p>'
+    got = pages.main_text(PAGE % f"<article>{inner}<div class='ad-slot'>Buy this now</div><p class=ad>Buy that, too</p><div id='post-comments'><p>First!</p></div></article>")
+    assert got.split("\n\n") == ["Sharing data", LONG.strip(), "A notice of the text.", "Work that is related.", "By form alone."]
+
+
+def test_ratios_choose_the_region(monkeypatch):
+    teasers = "".join(f"<article><h3><a href=x{k}>More of it</a></h3><a href=y>Go</a> <a href=z>on</a></article>" for k in range(4))
+    scores = "".join(f"<li><b>Player {k}</b><br><i>{k} goals</i><br><span>{k} games</span></li>" for k in range(40))
+    cases = {
+        PAGE % f"<div class=stories>{teasers}</div><div id=body><h1>Head</h1><div><p>{LONG}</p><p>{LONG}</p></div><div><p>Short.</p></div></div>": f"Head\n\n{LONG.strip()}\n\n{LONG.strip()}\n\nShort.",
+        f"<html><body><div><a href=a>One</a> <a href=b>Two</a> <a href=c>Three</a></div><div><h1>Head</h1><p>{LONG}</p><p>{LONG}</p><div><a href=d>Four</a><a href=e>Five</a></div></div><div>Copyright of somebody</div></body></html>": f"Head\n\n{LONG.strip()}\n\n{LONG.strip()}",
+        f"<body><div><a href=a>One</a> <a href=b>Two</a></div><h1>Head</h1><p>{LONG}</p><p>Short.</p><div>Copyright</div></body>": f"Head\n\n{LONG.strip()}\n\nShort.",
+        f"<body><div><ul>{scores}</ul></div><div><h1>Head</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></body>": "\n\n".join(["Head", *[LONG.strip()] * 3]),
+        f"<h1>Head</h1><p>{LONG}</p><p>Short.": f"Head\n\n{LONG.strip()}\n\nShort.",
+    }
+    for html, want in cases.items():
+        assert pages.main_text(html) == want
+    monkeypatch.setattr(pages, "smoothed", lambda ratios: [1.0] * len(ratios))
+    assert sum(pages.main_text(html) != want for html, want in cases.items()) >= 2
+
+
 def test_odd_pages(spark):
     df = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (None, "u", "<nav>only a menu</nav>", "x"), (3, "u", "plain &lt;text&gt; only", "x"), (3, "u", "<p>" * 3000 + "deep", "x")], "page_id long, url string, html string, text string")
     got = [tuple(r) for r in pages.extract(df).collect()]
