@@ -43,8 +43,9 @@ def violating_rows(df: DataFrame, row: str = "row_id", settings: Settings = Sett
 
 
 def _key(keys: tuple[str, ...]) -> Column:
-    """The key as text in which null differs from every value."""
-    return F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in keys])
+    """The key as text in which null differs from every value, and values can't run into each other."""
+    parts = [F.concat(F.lit("="), F.regexp_replace(F.col(c).cast("string"), r"([\\|])", r"\\$1")) for c in keys]
+    return F.concat_ws("|", *[F.coalesce(x, F.lit("-")) for x in parts])
 
 
 def hours(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:

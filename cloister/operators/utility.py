@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CATEGORIES, CELL, KPIS, PROVINCE, RAT
@@ -158,10 +158,9 @@ def findings(orig: DataFrame, anon: DataFrame, metric: str = "tp_dl_avg", least:
     gap = relative_error(F.col("hi.o") - F.col("lo.o"), F.col("hi.a") - F.col("lo.a"))
     first = ends.select(F.lit("rat_gap_rel_err").alias("item"), F.round(gap, 6).alias("value"), _verdict(F.round(gap, 9) <= 0.05))
     prov = medians(orig, PROVINCE, "o").join(medians(anon, PROVINCE, "a"), PROVINCE).filter((F.col("n_o") >= least) & (F.col("n_a") >= least))
-    # Provinces are few: their ranks are counts of the smaller ones.
-    other = prov.select(F.col("o").alias("o2"), F.col("a").alias("a2"))
-    rank = lambda x, y: F.sum(F.when(F.col(y) < F.col(x), 1.0).when(F.col(y) == F.col(x), 0.5).otherwise(0.0))
-    ranked = prov.join(F.broadcast(other)).groupBy(PROVINCE).agg(rank("o", "o2").alias("ro"), rank("a", "a2").alias("ra"))
+    # One row for each province: the smaller ones, and half of the equal ones with itself.
+    rank = lambda x: F.rank().over(Window.partitionBy(F.lit(0)).orderBy(x)) - 1 + 0.5 * F.count("*").over(Window.partitionBy(x))
+    ranked = prov.select(rank("o").alias("ro"), rank("a").alias("ra"))
     rho = ranked.agg(F.count("*").alias("n"), F.corr("ro", "ra").alias("rho")).withColumn("rho", F.when(F.col("n") >= 3, F.nanvl("rho", F.lit(None))))
     second = rho.select(F.lit("province_ranking_spearman").alias("item"), F.round("rho", 6).alias("value"), _verdict(F.col("rho").isNull() | (F.round("rho", 9) >= 0.95)))
     return first.unionByName(second)
@@ -178,10 +177,9 @@ def worst_cells(orig: DataFrame, anon: DataFrame, min_rows: int = 20, top: float
         means = lambda df, name: df.select(F.col(CELL).cast("string").alias("cell"), F.col(signal).alias("v")).join(both, "cell").groupBy("cell").agg(F.round(F.avg("v"), 9).alias(name), F.count("v").alias(f"n_{name}"))  # noqa: B023, E731
         m = means(orig, "o").filter(F.col("n_o") >= min_rows).join(means(anon, "a").filter(F.col("n_a") >= min_rows), "cell")
         k = m.agg(F.greatest(F.floor(F.count("*") * top), F.lit(1)).alias("k"))
-        # Cells are the radio stations of a network: thousands, ranked by counting the worse ones.
-        worse = lambda x: F.sum(F.when((F.col(f"{x}2") > F.col(x)) | ((F.col(f"{x}2") == F.col(x)) & (F.col("cell2") < F.col("cell"))), 1).otherwise(0))
-        other = m.select(F.col("cell").alias("cell2"), F.col("o").alias("o2"), F.col("a").alias("a2"))
-        ranked = m.join(F.broadcast(other)).groupBy("cell").agg(worse("o").alias("ro"), worse("a").alias("ra")).join(F.broadcast(k))
+        # One row for each cell, the radio stations of a network: thousands.
+        worse = lambda x: F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc(x), "cell")) - 1
+        ranked = m.select("cell", worse("o").alias("ro"), worse("a").alias("ra")).join(F.broadcast(k))
         recall = ranked.filter(F.col("ro") < F.col("k")).agg(F.avg((F.col("ra") < F.col("k")).cast("double")).alias("v"))
         skip = (F.col("common") < 20) | (F.col("common") < 0.01 * F.col("in_anon"))
         one = recall.join(known).select(F.lit(f"recall {signal}").alias("item"), F.when(~skip, F.round("v", 6)).alias("value"), F.when(skip, "SKIP").when(F.col("v") >= 0.9, "PASS").otherwise("FAIL").alias("status"))
@@ -189,11 +187,12 @@ def worst_cells(orig: DataFrame, anon: DataFrame, min_rows: int = 20, top: float
     return out
 
 
-def detail(orig: DataFrame, anon: DataFrame, row: str = "row_id") -> DataFrame:
-    """(metric, item, value, status) of every measure."""
+def detail(orig: DataFrame, anon: DataFrame, row: str = "row_id", models: DataFrame | None = None) -> DataFrame:
+    """(metric, item, value, status) of every measure; M8 where ``learned.downstream``'s rows are given as ``models``."""
     parts = {
         "M1": row_retention(orig, anon), "M3": completeness(orig, anon), "M4": distributions(orig, anon).select("item", F.col("ks").alias("value"), "status"), "M5": categorical(orig, anon),
         "M6": correlation_verdict(correlation(orig, anon, row)), "M7": findings(orig, anon), "M9": worst_cells(orig, anon),
+        **({"M8": models} if models is not None else {}),
     }
     out = None
     for name, part in parts.items():

@@ -264,6 +264,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "worst_cell_recall": _on_utility(utility.worst_cells),
     "utility_scorecard": _on_utility(lambda o, a: utility.scorecard(utility.detail(o, a))),
     "share_check": share_check,
+    "utility_scorecard_whole": _on_utility(lambda o, a: utility.scorecard(utility.detail(o, a, models=learned.downstream(o, a, settings=SETTINGS)))),
     "downstream_models": _on_utility(lambda o, a: learned.downstream(o, a, settings=SETTINGS)),
     "application_recovery": _on_pair(lambda a, r: learned.application_recovery(a, r, SETTINGS)),
 }

@@ -245,3 +245,25 @@ def test_scored_claims(spark):
     truth = spark.createDataFrame([(1, "a"), (2, "d"), (3, "e")], "claim int, candidate string")
     r = review.score_candidates(claims, truth).first()
     assert (r["claims"], r["answered"], round(r["recall"], 6), round(r["mean_inverse_size"], 6)) == (3, 2, 0.333333, 0.166667)
+
+
+def test_key_sets_of_the_same_columns(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (2, "b", "x")], "time_start long, enb_id string, application_category string")
+    got = {r["keys"]: r["min_k"] for r in audit.k_risk(df).collect()}
+    assert got == {"hour+cell": 1, "base": 1, "base+app": 1}
+    sizes = audit.class_sizes(df, {"one": ["enb_id"], "two": ["enb_id"], "none": []}).collect()
+    assert sorted((r["keys"], r["enb_id"], r["n"]) for r in sizes if r["keys"] != "none") == [(k, c, n) for k in ("one", "two") for c, n in (("a", 2), ("b", 1))]
+
+
+def test_link_keys_never_run_into_each_other(spark):
+    rows = [(1, "c1", "a|=b", "c"), (1, "c2", "a", "b|=c"), (1, "c3", "a|", "=c"), (1, "c4", "a\\", "x"), (1, "c5", "a\\|=x", None), (1, "c6", None, "-")]
+    df = spark.createDataFrame(rows, "time_start long, enb_id string, p string, q string")
+    got = linkage.hours(df, ("p", "q")).collect()
+    assert len(got) == 6 and all(r["n"] == 1 for r in got)
+
+
+def test_tests_without_columns_are_skipped(spark):
+    df = spark.createDataFrame([(3600 * k, k, f"u{k % 3}", "c", k % 24) for k in range(30)], "ts long, time_start long, user string, enb_id string, hod int").withColumn("row", F.col("ts"))
+    got = {r["test"]: r["status"] for r in audit.summary(df, "user", "row").collect()}
+    assert got["T6"] == got["T7"] == got["T8"] == got["T9"] == "SKIP"
+    assert {r["test"]: r["status"] for r in audit.run(df, "user", "row")} == got

@@ -36,12 +36,13 @@ def test_same_as_sql(spark, tables, name):
 
 
 def test_every_query_has_sql_but_models():
-    assert set(QUERIES) - set(SQL) == {"downstream_models", "application_recovery"}
+    assert set(QUERIES) - set(SQL) == {"downstream_models", "application_recovery", "utility_scorecard_whole"}
 
 
 def test_models_run(spark):
     for name in ("downstream_models", "application_recovery"):
         assert QUERIES[name](spark, SMALL).count() >= 1
+    assert {"M1", "M8", "M9"} <= {r["metric"] for r in QUERIES["utility_scorecard_whole"](spark, SMALL).collect()}
 
 
 def test_entry(spark):
