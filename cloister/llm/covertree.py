@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches_of, small_batches, staged
@@ -282,6 +282,12 @@ def _pivots(sample: np.ndarray, most: int) -> np.ndarray:
     return near[chosen]
 
 
+def _scaled(v: Column) -> Column:
+    """The vector, divided by its largest component where squares of that could leave the range of doubles."""
+    most = F.array_max(F.transform(v, F.abs))
+    return F.when(most.between(1e-100, 1e100), v).otherwise(F.transform(v, lambda x: x / most))
+
+
 def near_vectors(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9, block_rows: int = 4096, pivots: int = 16, sample_rows: int = 2048
 ) -> DataFrame:
@@ -291,7 +297,7 @@ def near_vectors(
     links reach, the own included; ``kept`` is whether that is the own id. Vectors that are null, empty or zero, or that
     hold a null or a non-finite component, link with nothing; vectors of different lengths never link. Rows with equal
     ids are vectors of their own, and null ids are never the smallest unless a component has no other. An empty table
-    gives no rows. Other columns are ignored. Pivots come from a sample of ``sample_rows`` classes, the smallest by hash;
+    gives no rows. Components of any finite size are told apart by direction alone. Other columns are ignored. Pivots come from a sample of ``sample_rows`` classes, the smallest by hash;
     the sample moves the blocks' borders only, not the result.
     """
     spark = vectors.sparkSession
@@ -305,7 +311,7 @@ def near_vectors(
     # Aggregates that are joined back are written first: then both sides are plain exchanges, of which Spark can split hot keys.
     classes = staged(good.groupBy("digest").agg(F.min("row").alias("rep"), F.count("*").alias("copies")), "digests")
     member = staged(good.select("row", "vec_id", "digest").join(classes, "digest").drop("digest"), "members")
-    reps = member.filter("row = rep").select("row", "copies").join(rows.select("row", "embedding"), "row").withColumn("dim", F.size("embedding"))
+    reps = member.filter("row = rep").select("row", "copies").join(rows.select("row", _scaled(F.col("embedding")).alias("embedding")), "row").withColumn("dim", F.size("embedding"))
     reps = staged(reps, "classes")
     tops, cells, sizes = [], {}, []
     # Few lengths occur in a table of embeddings; each is a tree of its own.

@@ -392,6 +392,13 @@ def test_odd_vectors(spark):
     assert covertree.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_any_size(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1e-200, 1e-200]), (4, [1e-310, 1.01e-310]), (5, [1e200, -1e200]), (6, [1.0, 1.0]), (7, [1e-300, 1e200])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in covertree.near_vectors(df).collect()}
+    assert got == {**{i: (4, 1) for i in (1, 2, 3, 4, 6)}, 5: (0, 5), 7: (0, 7)}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
