@@ -285,6 +285,7 @@ def _pivots(sample: np.ndarray, most: int) -> np.ndarray:
 def _scaled(v: Column) -> Column:
     """The vector, divided by its largest component where squares of that could leave the range of doubles."""
     most = F.array_max(F.transform(v, F.abs))
+    most = F.when(most > 0, most).otherwise(1.0)
     return F.when(most.between(1e-100, 1e100), v).otherwise(F.transform(v, lambda x: x / most))
 
 
