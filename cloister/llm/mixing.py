@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import WORD, staged, word_count
 
 #: Rounds of the permutations; shards whose slots are made together.
-_ROUNDS, _SHARDS = 5, 1024
+_ROUNDS, _SHARDS = 5, 64
 
 
 def _uniform(*keys: Column) -> Column:
@@ -59,7 +59,9 @@ def _uses(plan: DataFrame, slots: int, shards: int, seed: int) -> DataFrame:
     """(si, block, uses): which blocks of each source the output's slots take. plan: si, n_blocks, share."""
     per = -(-slots // shards)
     plan = _cut_counts(_cut_counts(plan, F.lit(per), "most"), F.lit(slots - per * (shards - 1)), "last")
-    rows = plan.withColumn("some", F.explode(F.sequence(F.lit(0), F.lit((shards - 1) // _SHARDS)))).repartition("si", "some")
+    rows = plan.withColumn("some", F.explode(F.sequence(F.lit(0), F.lit((shards - 1) // _SHARDS))))
+    # By number: the rows are few here, but what they become isn't, so they must not be brought together again.
+    rows = rows.repartition(int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), "si", "some")
     last = F.least(F.col("some") * _SHARDS + _SHARDS - 1, F.lit(shards - 1))
     rows = rows.withColumn("shard", F.explode(F.sequence(F.col("some") * _SHARDS, last)))
 
