@@ -70,22 +70,43 @@ def pick(rows: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
     return rows.orderBy(draw(seed, *[F.col(k) for k in keys]), *keys).limit(n)
 
 
-def running_total(df: DataFrame, group: str, value: str, weight: str, pieces: int = 64) -> DataFrame:
-    """``before``: the sum of weights of the smaller values of the group. Values must be distinct within a group.
+def running_totals(df: DataFrame, group: str, value: str, weights: list[str], pieces: int = 64) -> DataFrame:
+    """``before_<w>``, the sum of weight ``w`` over the smaller values of the group, and ``total_<w>``, over all of them.
+    Values must be distinct within a group.
 
-    Each group is cut into stretches at approximate quantiles; sums over stretches, then within a stretch, make the total,
+    Each group is cut into stretches at approximate quantiles; sums over stretches, then within a stretch, make the totals,
     so that no group is one task's.
     """
     shares = [i / pieces for i in range(1, pieces)]
     cuts = df.groupBy(group).agg(F.percentile_approx(value, shares, 2000).alias("__cuts")).withColumnRenamed(group, "__g")
     rows = df.join(cuts, F.col(group).eqNullSafe(F.col("__g"))).withColumn("__piece", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts", "__g")
-    sums = rows.groupBy(group, "__piece").agg(F.sum(weight).alias("__w"))
-    upto = Window.partitionBy(group).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(F.col(group).alias("__g"), F.col("__piece").alias("__p"), F.coalesce(F.sum("__w").over(upto), F.lit(0)).alias("__base"))
+    sums = rows.groupBy(group, "__piece").agg(*[F.sum(w).alias(f"__w_{w}") for w in weights])
+    whole = Window.partitionBy(group)
+    upto = whole.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        F.col(group).alias("__g"), F.col("__piece").alias("__p"),
+        *[F.coalesce(F.sum(f"__w_{w}").over(upto), F.lit(0)).alias(f"__base_{w}") for w in weights], *[F.sum(f"__w_{w}").over(whole).alias(f"total_{w}") for w in weights],
+    )
     inner = Window.partitionBy(group, "__piece").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__in", F.coalesce(F.sum(weight).over(inner), F.lit(0)))
+    rows = rows.select("*", *[F.coalesce(F.sum(w).over(inner), F.lit(0)).alias(f"__in_{w}") for w in weights])
     out = rows.join(sums, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__piece") == F.col("__p")))
-    return out.withColumn("before", F.col("__base") + F.col("__in")).drop("__piece", "__g", "__p", "__base", "__in")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[(F.col(f"__base_{w}") + F.col(f"__in_{w}")).alias(f"before_{w}") for w in weights], *[f"total_{w}" for w in weights])
+
+
+def running_total(df: DataFrame, group: str, value: str, weight: str, pieces: int = 64) -> DataFrame:
+    """``before``: the sum of weights of the smaller values of the group, as `running_totals` makes it."""
+    return running_totals(df, group, value, [weight], pieces).withColumnRenamed(f"before_{weight}", "before").drop(f"total_{weight}")
+
+
+def quantile(share: float, value: str, weight: str) -> Column:
+    """Aggregate over a group's rows of `running_totals`: the exact quantile, between two neighbours in proportion.
+
+    Only the neighbours are picked, by their places, so partial aggregates hold two values and not the group's.
+    """
+    place = F.lit(share) * (F.col(f"total_{weight}") - 1)
+    at = lambda i: F.max(F.when((F.col(f"before_{weight}") <= i) & (i < F.col(f"before_{weight}") + F.col(weight)), F.col(value)))
+    low, high, p = at(F.floor(place)), at(F.ceil(place)), F.max(place)
+    return F.when(low == high, low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high)
 
 
 def melt(df: DataFrame, keys: list[str], columns: list[str], name: str = "column", value: str = "value") -> DataFrame:

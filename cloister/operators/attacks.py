@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import APP, ATTACK_QI, CELL, DEVICE, KPIS, METRICS, PROVINCE, RESTRICTED, TIME, Settings
-from ..functions.columns import day_of_week, hour_of_day, melt, pick, sig_round_finite, text
+from ..functions.columns import day_of_week, hour_of_day, melt, pick, quantile, running_totals, sig_round_finite, text
 from .audit import class_sizes, modal
 from .points import chosen_points, holders
 
@@ -130,8 +130,10 @@ def row_linking(a: DataFrame, row: str = "row_id", max_tac_users: int = 50, max_
     same device type and province, by measurements, against the truth. Larger blocks are skipped and counted."""
     feats = [c for c in METRICS if c in a.columns]
     logs = a.select(F.col(row).alias("r"), F.col(USER).alias("u"), "tac", F.col(PROVINCE).alias("p"), F.col(TIME).alias("h"), *[F.log1p(F.when(F.col(c).isNotNull(), F.greatest(F.col(c), F.lit(0.0)))).alias(c) for c in feats])
-    medians = logs.agg(*[F.median(c).alias(f"d_{c}") for c in feats])
-    filled = logs.join(F.broadcast(medians)).select("r", "u", "tac", "p", "h", *[F.coalesce(c, f"d_{c}").alias(c) for c in feats])
+    counts = melt(logs.select(*feats), [], feats).groupBy("column", "value").agg(F.count("*").alias("n"))
+    middle = running_totals(counts, "column", "value", ["n"]).groupBy("column").agg(quantile(0.5, "value", "n").alias("d"))
+    medians = {r["column"]: r["d"] for r in middle.collect()}  # a row for each measurement; as literals they are not planned anew in each branch
+    filled = logs.select("r", "u", "tac", "p", "h", *[F.coalesce(c, F.lit(medians.get(c)).cast("double")).alias(c) for c in feats])
     spread = filled.agg(*[F.avg(c).alias(f"m_{c}") for c in feats], *[F.stddev_samp(c).alias(f"s_{c}") for c in feats])
     z = [F.coalesce((F.col(c) - F.col(f"m_{c}")) / F.when(F.col(f"s_{c}") == 0, 1.0).otherwise(F.col(f"s_{c}")), F.lit(0.0)).alias(c) for c in feats]
     rows = filled.join(F.broadcast(spread)).select("r", "u", "tac", "p", "h", *z)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import APP, CELL, DIGESTS, METRICS, PROVINCE, RAT, SENSITIVE, TIME, VOLUMES, Settings, worst
-from ..functions.columns import in_majority_part, melt, pick, same_keys, status
+from ..functions.columns import in_majority_part, melt, pick, quantile, running_totals, same_keys, status
 from .points import unicity
 
 BASE = (TIME, CELL, PROVINCE, RAT)
@@ -179,15 +179,18 @@ def home_exposure(df: DataFrame, user: str, settings: Settings = Settings()) ->
 
 def upper_median(df: DataFrame, column: str) -> DataFrame:
     """One row: the value at half the count, from 0, of the sorted values that aren't null."""
-    return df.agg((-F.expr(f"percentile_disc(0.5) within group (order by -{column})")).alias("cut"))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.lit(0).alias("g"), F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    middle = F.floor(F.col("total_n") / 2)
+    here = (F.col("before_n") <= middle) & (middle < F.col("before_n") + F.col("n"))
+    return running_totals(counts, "g", "v", ["n"]).agg(F.max(F.when(here, F.col("v"))).alias("cut"))
 
 
 def metric_relink(df: DataFrame, user: str, settings: Settings = Settings()) -> DataFrame:
     """(variant, subscribers, top1, top5): how often a subscriber's mean measurements before the middle of the time
     find the same subscriber's after it, among at most ``max_users``; also with a penalty where the modal cells differ."""
     columns = [c for c in (*METRICS, *VOLUMES) if c in df.columns]
-    cut = upper_median(df, "ts")
-    halves = df.join(F.broadcast(cut)).withColumn("late", F.col("ts") >= F.col("cut"))
+    cut = upper_median(df, "ts").first()["cut"]  # one value; as a literal it is not planned anew in each branch
+    halves = df.withColumn("late", F.col("ts") >= F.lit(cut))
     means = halves.groupBy(user, "late").agg(*[F.avg(c).alias(c) for c in columns]).dropna()
     both = means.groupBy(user).agg(F.count("*").alias("n")).filter("n = 2").select(user)
     chosen = pick(both, settings.max_users, settings.seed, user)
@@ -203,6 +206,9 @@ def metric_relink(df: DataFrame, user: str, settings: Settings = Settings()) ->
     later, homes = late[columns].to_numpy(dtype=float), late["home"].tolist()
     place = {u: k for k, u in enumerate(late["user"])}
 
+    code = {h: k for k, h in enumerate(sorted({h for h in homes if not pd.isna(h)}))}
+    coded = np.array([-1 if pd.isna(h) else code[h] for h in homes], dtype=np.int64)
+
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for begin in range(0, len(batch), 500):
@@ -212,7 +218,9 @@ def metric_relink(df: DataFrame, user: str, settings: Settings = Settings()) ->
                 for k in range(len(columns)):
                     d += (mine[:, k : k + 1] - later[None, :, k]) ** 2
                 d = np.round(d, 9)
-                moved = np.array([[(pd.isna(h) != pd.isna(o)) or (not pd.isna(h) and h != o) for o in homes] for h in some["home"].tolist()])
+                # Codes of the later homes; -1 is no home, -2 one that no later subscriber has.
+                home = np.array([-1 if pd.isna(h) else code.get(h, -2) for h in some["home"]], dtype=np.int64)
+                moved = home[:, None] != coded[None, :]
                 own = np.array([place[u] for u in some["user"]], dtype=np.int64)
                 for variant, x in (("metrics", d), ("metrics+home", d + 1000.0 * moved)):
                     self_ = x[np.arange(len(own)), own][:, None]
@@ -236,16 +244,17 @@ def value_precision(df: DataFrame) -> DataFrame:
     counts = melt(df.select(*columns), [], columns).groupBy("column", "value").agg(F.count("*").alias("n"))
     v = F.col("value")
     needs = [F.max(F.abs(F.rint(v * F.lit(10.0**d)) / F.lit(10.0**d) - v)).alias(f"e{d}") for d in range(10)]
-    table = counts.groupBy("column").agg(
+    table = running_totals(counts, "column", "value", ["n"]).groupBy("column").agg(
         F.sum("n").alias("rows"),
         F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("once"),
-        F.expr("percentile(value, array(0.5D, 0.999D), n)").alias("q"),
+        quantile(0.5, "value", "n").alias("p50"),
+        quantile(0.999, "value", "n").alias("p99_9"),
         F.max("value").alias("max"),
         *needs,
     )
     decimals = F.coalesce(*[F.when(F.col(f"e{d}") <= 1e-9, d) for d in range(10)], F.lit(10))
     share, volume = F.col("once") / F.col("rows"), F.col("column").isin(*VOLUMES)
-    out = table.select("column", F.col("rows").alias("n"), share.alias("u"), decimals.cast("long").alias("decimals"), F.col("q")[0].alias("p50"), F.col("q")[1].alias("p99_9"), "max")
+    out = table.select("column", F.col("rows").alias("n"), share.alias("u"), decimals.cast("long").alias("decimals"), "p50", "p99_9", "max")
     outlier = (F.col("p99_9") > 0) & (F.col("max") / F.when(F.col("p99_9") > 0, F.col("p99_9")) > 10)
     out = out.withColumn("outlier", F.coalesce(outlier, F.lit(False)))
     u, d = F.col("u"), F.col("decimals")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CATEGORIES, CELL, KPIS, PROVINCE, RAT
-from ..functions.columns import melt, running_total
+from ..functions.columns import melt, quantile, running_total, running_totals
 
 
 def _verdict(ok: Column) -> Column:
@@ -50,14 +50,11 @@ def distributions(orig: DataFrame, anon: DataFrame) -> DataFrame:
     both = _long(orig, columns, "o").union(_long(anon, columns, "a"))
     o, a = F.col("side") == "o", F.col("side") == "a"
     counts = both.groupBy("column", "value").agg(F.count(F.when(o, 1)).alias("no"), F.count(F.when(a, 1)).alias("na"))
-    totals = counts.groupBy("column").agg(F.sum("no").alias("so"), F.sum("na").alias("sa"))
-    run = running_total(counts, "column", "value", "no").withColumnRenamed("before", "bo").select("column", "value", "no", "na", "bo")
-    run = running_total(run, "column", "value", "na").join(F.broadcast(totals), "column")
-    gap = F.abs((F.col("bo") + F.col("no")) / F.col("so") - (F.col("before") + F.col("na")) / F.col("sa"))
-    ks = run.filter("so > 1 and sa > 1").groupBy("column").agg(F.max(gap).alias("ks"))
-    q = lambda n: F.expr(f"percentile(value, array(0.5D, 0.95D), {n})")
-    quantiles = counts.groupBy("column").agg(q("no").alias("qo"), q("na").alias("qa"))
-    out = ks.join(quantiles, "column").select("column", "ks", relative_error(F.col("qo")[0], F.col("qa")[0]).alias("e50"), relative_error(F.col("qo")[1], F.col("qa")[1]).alias("e95"))
+    run = running_totals(counts, "column", "value", ["no", "na"]).filter("total_no > 1 and total_na > 1")
+    gap = F.abs((F.col("before_no") + F.col("no")) / F.col("total_no") - (F.col("before_na") + F.col("na")) / F.col("total_na"))
+    quantiles = [quantile(share, "value", n).alias(f"{n}{share}") for n in ("no", "na") for share in (0.5, 0.95)]
+    out = run.groupBy("column").agg(F.max(gap).alias("ks"), *quantiles)
+    out = out.select("column", "ks", relative_error(F.col("`no0.5`"), F.col("`na0.5`")).alias("e50"), relative_error(F.col("`no0.95`"), F.col("`na0.95`")).alias("e95"))
     ok = (F.round("ks", 9) <= 0.05) & (F.round("e50", 9) <= 0.05) & (F.round("e95", 9) <= 0.05)
     return out.select(F.col("column").alias("item"), F.round("ks", 6).alias("ks"), F.round("e50", 6).alias("median_error"), F.round("e95", 6).alias("p95_error"), _verdict(ok))
 
@@ -69,11 +66,11 @@ def cdf_points(orig: DataFrame, anon: DataFrame, steps: int = 20) -> DataFrame:
     """
     columns = shared(orig, anon, KPIS)
     both = _long(orig, columns, "o").union(_long(anon, columns, "a"))
-    counts = both.groupBy("side", "column", "value").agg(F.count("*").alias("n"))
-    shares = ", ".join(f"{i / steps}D" for i in range(steps + 1))
-    quantiles = counts.groupBy("side", "column").agg(F.expr(f"percentile(value, array({shares}), n)").alias("q"))
-    points = quantiles.select("side", "column", F.posexplode("q").alias("i", "v"))
-    wide = points.groupBy("column", "i").agg(F.max(F.when(F.col("side") == "o", F.col("v"))).alias("o"), F.max(F.when(F.col("side") == "a", F.col("v"))).alias("a"))
+    sides = {"no": "o", "na": "a"}
+    counts = both.groupBy("column", "value").agg(*[F.count(F.when(F.col("side") == x, 1)).alias(n) for n, x in sides.items()])
+    run = running_totals(counts, "column", "value", list(sides))
+    quantiles = run.groupBy("column").agg(*[F.array(*[quantile(i / steps, "value", n) for i in range(steps + 1)]).alias(x) for n, x in sides.items()])
+    wide = quantiles.select("column", F.posexplode(F.arrays_zip("o", "a")).alias("i", "v")).select("column", "i", "v.o", "v.a")
     return wide.select(F.col("column").alias("item"), F.round(F.col("i") / steps, 6).alias("share"), F.round(F.col("o") + 1e-12, 6).alias("original"), F.round(F.col("a") + 1e-12, 6).alias("anonymised"))
 
 

@@ -7,7 +7,7 @@ import json
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,13 +69,21 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, r
     schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header])
     out = spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
     out = without_nan(out.select(*[F.col(f"`{c}`") for c in columns]) if columns else out)
-    return out.limit(rows) if rows is not None else out
+    if rows is None:
+        return out
+    place = F.monotonically_increasing_id().alias("__place")
+    return out.select("*", place).orderBy("__place").limit(rows).drop("__place")
 
 
 def with_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Rows numbered from 0 in the order of the files. Text files carry no row number, so this is one pass over an RDD."""
-    numbered = df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
-    return df.sparkSession.createDataFrame(numbered, T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
+    """Rows of a scan numbered from 0 in the order of its partitions: each row's place in its own, after the sizes of those
+    before. ``df`` must be a scan of files, perhaps projected or filtered, whose partitions are the same each time."""
+    marked = df.select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__place"))
+    sizes = marked.groupBy("__part").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    first = sizes.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__first"))
+    here = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    return marked.join(F.broadcast(first), "__part").select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__first") + here).alias(name))
 
 
 def with_truth(raw: DataFrame, row: str = "row_id") -> DataFrame:

@@ -195,6 +195,33 @@ def test_suite_isolates_errors(spark):
     assert out["T5"] == "ERROR" and out["T1"] == "FAIL" and out["overall"] in ("FAIL", "ERROR") and len(out) == 10
 
 
+def test_quantiles_without_gathering(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    groups = {"many": rng.normal(size=700).tolist(), "ties": [1.0] * 9 + [2.0], "one": [3.5], "far": [-1e300, 0.0, 1e300], "odd": [float("inf"), 1.0, 2.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    run = C.running_totals(df.groupBy("g", "v").agg(F.count("*").alias("n")), "g", "v", ["n"], 8)
+    shares = (0.0, 0.25, 0.5, 0.999, 1.0)
+    got = {r["g"]: r for r in run.groupBy("g").agg(*[C.quantile(s, "v", "n").alias(str(s)) for s in shares]).collect()}
+    for g in ("many", "ties", "one", "far"):
+        assert [got[g][str(s)] for s in shares] == pytest.approx([float(np.quantile(groups[g], s)) for s in shares], rel=1e-12), g
+    assert got["odd"]["0.5"] == 2.0 and got["odd"]["1.0"] == float("inf")
+    assert audit.upper_median(spark.createDataFrame([(x,) for x in (5, 1, None, 9, 9)], "ts long"), "ts").first()["cut"] == 9
+    assert audit.upper_median(spark.createDataFrame([], "ts long"), "ts").first()["cut"] is None
+
+
+def test_redaction_check_knows_each_kind():
+    sound = {"k_min": 3, "columns": [{"name": "c", "kind": "enb", "cell_size_histogram": {"1": 4}}, {"name": "p", "kind": "allowlisted_categorical", "categories": [{"label": "x", "count": 3}]}]}
+    profile.assert_redacted(sound, ["q", ""])
+    for more in ({"name": "i", "kind": "identifier_like", "categories": []}, {"name": "t", "kind": "categorical_nolabels", "top_value": "x"}, {"name": "c", "kind": "enb", "cell_size_histogram": {"cell 7": 1}},
+                 {"name": "p", "kind": "allowlisted_categorical", "categories": [{"label": "x", "count": 2}]}, {"name": "new", "kind": "other", "values": [1]}):
+        with pytest.raises(AssertionError):
+            profile.assert_redacted({"k_min": 3, "columns": [more]})
+    with pytest.raises(AssertionError, match="stands in"):
+        profile.assert_redacted(sound, ["x"])
+
+
 def test_verdicts():
     assert worst([]) == "SKIP" and worst(["PASS", "WARN", "SKIP"]) == "WARN" and worst(["ERROR", "FAIL"]) == "ERROR"
     assert subscriber_column(["imsi", "x"]) == "imsi" and subscriber_column(["x"]) is None and subscriber_column(["imsi"], "u") == "u"
