@@ -24,10 +24,13 @@ _shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset (local mode)."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset in
+    local mode. On a cluster an unset one is an error: executors elsewhere could not read a folder of the driver's."""
     there = spark.conf.get("spark.checkpoint.dir", None)
     if there:
         return there.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="cloister-"))
         atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)

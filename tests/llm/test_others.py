@@ -416,3 +416,16 @@ def test_pipeline_stages(spark):
     check_packing([], texts[5].collect())
     assert sum(r["length"] for r in texts[5].collect()) == sum(len(ENCODER.encode([r["text"]])[0]) // 4 + 1 for r in texts[4].collect())
     assert Counter(map(tuple, cp.run(spark, SF).select("doc_id", "piece", "length", "ids_crc32").collect())) == Counter((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in texts[5].collect())
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from cloister.llm.common import shared_dir
+
+    def session(master, folder):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: folder), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_dir(session("spark://a:7077", "hdfs://b/c/")) == "hdfs://b/c"
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(session("spark://a:7077", None))
