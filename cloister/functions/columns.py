@@ -98,7 +98,7 @@ def running_total(df: DataFrame, group: str, value: str, weight: str, pieces: in
     return running_totals(df, group, value, [weight], pieces).withColumnRenamed(f"before_{weight}", "before").drop(f"total_{weight}")
 
 
-def quantile(share: float, value: str, weight: str) -> Column:
+def quantile(share: float | Column, value: str, weight: str) -> Column:
     """Aggregate over a group's rows of `running_totals`: the exact quantile, between two neighbours in proportion.
 
     Only the neighbours are picked, by their places, so partial aggregates hold two values and not the group's.

@@ -69,8 +69,15 @@ def cdf_points(orig: DataFrame, anon: DataFrame, steps: int = 20) -> DataFrame:
     sides = {"no": "o", "na": "a"}
     counts = both.groupBy("column", "value").agg(*[F.count(F.when(F.col("side") == x, 1)).alias(n) for n, x in sides.items()])
     run = running_totals(counts, "column", "value", list(sides))
-    quantiles = run.groupBy("column").agg(*[F.array(*[quantile(i / steps, "value", n) for i in range(steps + 1)]).alias(x) for n, x in sides.items()])
-    wide = quantiles.select("column", F.posexplode(F.arrays_zip("o", "a")).alias("i", "v")).select("column", "i", "v.o", "v.a")
+
+    def met(i: Column, n: str) -> Column:
+        """Whether a neighbour of the quantile is this value."""
+        place = i / steps * (F.col(f"total_{n}") - 1)
+        return (F.col(n) > 0) & (F.floor(place) < F.col(f"before_{n}") + F.col(n)) & (F.ceil(place) >= F.col(f"before_{n}"))
+
+    # Only values beside a quantile go on, once for each that they are beside.
+    beside = run.withColumn("i", F.explode(F.filter(F.sequence(F.lit(0), F.lit(steps)), lambda i: met(i, "no") | met(i, "na"))))
+    wide = beside.groupBy("column", "i").agg(*[quantile(F.col("i") / steps, "value", n).alias(x) for n, x in sides.items()])
     return wide.select(F.col("column").alias("item"), F.round(F.col("i") / steps, 6).alias("share"), F.round(F.col("o") + 1e-12, 6).alias("original"), F.round(F.col("a") + 1e-12, 6).alias("anonymised"))
 
 
