@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,9 +129,34 @@ def flag_diversity(a: DataFrame) -> DataFrame:
     )
 
 
+def _nearest_of(feats: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
+        """One row for a block and the one an hour later: rows, those whose nearest is of the same subscriber, and their
+        chances. Equal distances go to the smallest row id. Some rows at a time, so that no matrix is larger than 2 ** 20."""
+        n, hits = left.num_rows, 0
+        if n and right.num_rows:
+            right = right.sort_by([("r2", "ascending"), ("u2", "ascending")])
+            x, y = (np.column_stack([t.column(c).to_numpy() for c in feats]) for t in (left, right))
+            mine, theirs = left.column("u").to_pylist(), right.column("u2").to_pylist()
+            step = max(1, (1 << 20) // len(y))
+            for begin in range(0, n, step):
+                some = x[begin : begin + step]
+                d = np.zeros((len(some), len(y)))
+                for k in range(len(feats)):
+                    d += (some[:, k : k + 1] - y[None, :, k]) ** 2
+                near = np.nan_to_num(np.round(d, 9), nan=np.inf).argmin(axis=1)
+                hits += sum(mine[begin + i] == theirs[j] for i, j in enumerate(near.tolist()))
+        else:
+            n = 0
+        return pa.table({"n": pa.array([n], pa.int64()), "hits": pa.array([hits], pa.int64()), "chance": pa.array([sum(left.column("chance").to_pylist()) if n else 0.0], pa.float64())})
+
+    return nearest
+
+
 def row_linking(a: DataFrame, row: str = "row_id", max_tac_users: int = 50, max_pairs: int = 4_000_000) -> DataFrame:
     """(rows_evaluated, link_accuracy, chance_baseline, lift, skipped_blocks): the nearest row of the next hour with the
-    same device type and province, by measurements, against the truth. Larger blocks are skipped and counted."""
+    same device type and province, by measurements, against the truth. Larger blocks are skipped and counted; the others
+    meet as Arrow tables, so that pairs are matrix cells and never rows."""
     feats = [c for c in METRICS if c in a.columns]
     logs = a.select(F.col(row).alias("r"), F.col(USER).alias("u"), "tac", F.col(PROVINCE).alias("p"), F.col(TIME).alias("h"), *[F.log1p(F.when(F.col(c).isNotNull(), F.greatest(F.col(c), F.lit(0.0)))).alias(c) for c in feats])
     counts = melt(logs.select(*feats), [], feats).groupBy("column", "value").agg(F.count("*").alias("n"))
@@ -147,11 +176,11 @@ def row_linking(a: DataFrame, row: str = "row_id", max_tac_users: int = 50, max_
     left = rows.join(blocks.filter("not skip").select(*keys, "next"), keys)
     per_user = rows.groupBy(*keys, "u").agg(F.count("*").alias("own")).select("tac", "p", (F.col("h") - 1).alias("h"), "u", "own")
     left = left.join(per_user, [*keys, "u"])  # only rows whose subscriber is in the next block
-    right = rows.select("tac", "p", (F.col("h") - 1).alias("h"), F.col("r").alias("r2"), F.col("u").alias("u2"), *[F.col(c).alias(f"b_{c}") for c in feats])
-    terms = [F.pow(F.col(c) - F.col(f"b_{c}"), F.lit(2.0)) for c in feats]
-    distance = sum(terms[1:], terms[0])
-    best = left.join(right, keys).groupBy("r").agg(F.min(F.struct(F.round(distance, 9).alias("d"), F.col("r2").alias("r2"), F.col("u2").alias("u2"))).alias("b"), F.first("u").alias("u"), F.first(F.col("own") / F.col("next")).alias("chance"))
-    out = best.agg(F.count("*").alias("n"), F.sum((F.col("b.u2") == F.col("u")).cast("long")).alias("hits"), F.sum("chance").alias("chance"))
+    left = left.select(*keys, "r", "u", (F.col("own") / F.col("next")).alias("chance"), *feats)
+    right = rows.select("tac", "p", (F.col("h") - 1).alias("h"), F.col("r").alias("r2"), F.col("u").alias("u2"), *feats).join(blocks.filter("not skip").select(*keys), keys, "left_semi")
+    right = right.toDF(*right.columns)  # columns of its own, told apart from the left side's
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_nearest_of(feats), "n long, hits long, chance double")
+    out = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum("hits").alias("hits"), F.sum("chance").alias("chance"))
     accuracy, chance = F.expr("try_divide(hits, n)"), F.expr("try_divide(chance, n)")
     return out.join(skipped).select(
         F.col("n").alias("rows_evaluated"), F.round(accuracy, 6).alias("link_accuracy"), F.round(chance, 6).alias("chance_baseline"),
