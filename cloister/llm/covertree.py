@@ -1,11 +1,12 @@
 """Embedding near-duplicates: exact cosine links by dual traversal of cover trees.
 
-Vectors of equal components are one class. Classes are cut into cells around pivots, the top of one large tree, and cells
-into blocks of a bounded size. Every block gets a cover tree on the unit sphere: nested levels of centers whose radii
+Vectors of equal components are one class. Classes are cut into cells around pivots, and those into smaller ones until
+they have a bounded size, the upper levels of one large tree; the cells at its ends are blocks. Every block gets a cover tree on the unit sphere: nested levels of centers whose radii
 halve, each node with its true covering radius. Two nodes whose centers are further apart than both radii and the
 threshold together hold no link and go; two whose centers and radii lie within the threshold are all links, counted
 without making the pairs; all others go on to their children, down to single vectors, whose cosine is taken in double
-precision. Pairs of blocks are pruned by the same bound, and each pair that is left is a task of bounded size.
+precision. Pairs of cells are pruned by the same bound
+on every level, and a block meets a few of the partners that are left in each task, so tasks have a bounded size.
 
 A task returns how many links each vector has and, for the components, stars instead of links, so results grow with the
 vectors and not with the links.
@@ -14,14 +15,15 @@ vectors and not with the links.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, small_batches, staged
+from .common import small_batches, staged
 from .components import components, local_components
 
 #: Radii of the levels; the last level holds the vectors themselves.
@@ -30,6 +32,10 @@ _RADII = (2.0, 1.0, 0.5, 0.25, 0.125, 0.0625)
 _SLACK = 1e-3
 #: Node pairs expanded at a time.
 _CHUNK = 1 << 18
+#: Rows dealt to the cells below theirs at a time.
+_DEALT = 16384
+#: Partners that a block meets in one task, about.
+_PARTNERS = 4
 
 
 def build(vectors: np.ndarray) -> dict:
@@ -232,24 +238,27 @@ def traverse(x: np.ndarray, tx: dict, y: np.ndarray, ty: dict, same: bool, cosin
 
 
 
+def _vectors_of(rows: pa.Table) -> np.ndarray:
+    return rows.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1).astype(np.float64)
+
+
 def _make_block(key: tuple, rows: pa.Table) -> pa.Table:
     """One row for a block: its vectors, weights and tree, pickled."""
-    order = np.argsort(rows.column("row").to_numpy())
-    ids, weight = rows.column("row").to_numpy()[order], rows.column("copies").to_numpy()[order]
-    flat = rows.column("embedding").combine_chunks()
-    vectors = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(order), -1)[order]
-    tree = build(vectors.astype(np.float64))
-    held = pickle.dumps((ids, weight, vectors, tree), protocol=5)
-    return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()), "sub": pa.array([key[1].as_py()], pa.int32()), "held": pa.array([held], pa.binary())})
-
-
-def _linker(cosine: float):
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ha, hb, same in zip(batch.column("ha"), batch.column("hb"), batch.column("same").to_pylist()):
-                ia, wa, va, ta = pickle.loads(ha.as_buffer())  # noqa: S301  made by _make_block
-                ib, wb, vb, tb = (ia, wa, va, ta) if same else pickle.loads(hb.as_buffer())  # noqa: S301
-                va, vb = va.astype(np.float64), vb.astype(np.float64)
+    rows = rows.sort_by("row")
+    vectors = _vectors_of(rows)
+    held = pickle.dumps((rows.column("row").to_numpy(), rows.column("copies").to_numpy(), vectors, build(vectors)), protocol=5)
+    return pa.table({"block": pa.array([key[0].as_py()], pa.string()), "held": pa.array([held], pa.binary())})
+
+
+def _linker(cosine: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def link(left: pa.Table, right: pa.Table) -> pa.Table:
+        """A block against a few partners; a partner without vectors is the block itself."""
+        rows, links, other = [], [], []
+        if left.num_rows:
+            ia, wa, va, ta = pickle.loads(left.column("ha")[0].as_buffer())  # noqa: S301  made by _make_block
+            for held in right.column("hb"):
+                same = not held.is_valid
+                ib, wb, vb, tb = (ia, wa, va, ta) if same else pickle.loads(held.as_buffer())  # noqa: S301
                 la, lb, stars = traverse(va, ta, vb, tb, same, cosine, wa, wb)
                 if same:
                     la, lb = la + lb, np.zeros(0, np.int64)
@@ -258,28 +267,109 @@ def _linker(cosine: float):
                 ids, low = local_components(a, b)
                 ids, low = ids[ids != low], low[ids != low]
                 ra, rb = np.flatnonzero(la), np.flatnonzero(lb)
-                columns = [
-                    pa.array(np.concatenate([ia[ra], ib[rb], ids]), pa.int64()),
-                    pa.array(np.concatenate([la[ra], lb[rb], np.zeros(len(ids), np.int64)]), pa.int64()),
-                    pa.array(np.concatenate([np.full(len(ra) + len(rb), -1), low]), pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "links", "other"])
+                rows += [ia[ra], ib[rb], ids]
+                links += [la[ra], lb[rb], np.zeros(len(ids), np.int64)]
+                other += [np.full(len(ra) + len(rb), -1), low]
+        nothing = np.zeros(0, np.int64)
+        return pa.table({name: pa.array(np.concatenate([*x, nothing]), pa.int64()) for name, x in (("row", rows), ("links", links), ("other", other))})
 
     return link
 
 
 def _pivots(sample: np.ndarray, most: int) -> np.ndarray:
-    """Farthest-first rows of a sample: each is the one farthest from all before."""
-    near = sample.astype(np.float64)
-    chosen = [0]
-    d = 2 - 2 * near @ near[0]
-    while len(chosen) < min(most, len(near)):
-        k = int(np.argmax(d))
-        if d[k] <= 1e-12:
+    """Rows of a sample of unit vectors in pseudorandom order: its first ones, which lie where vectors are dense, then
+    farthest-first ones, each the one farthest from all before."""
+    chosen, d = [0], 2 - 2 * sample @ sample[0]
+    while len(chosen) < most:
+        fresh = np.flatnonzero(d > 1e-12)
+        if not len(fresh):
             break
+        k = int(fresh[0]) if len(chosen) < (most + 1) // 2 else int(np.argmax(d))
         chosen.append(k)
-        d = np.minimum(d, 2 - 2 * near @ near[k])
-    return near[chosen]
+        d = np.minimum(d, 2 - 2 * sample @ sample[k])
+    return sample[chosen]
+
+
+def _choose(key: tuple, rows: pa.Table) -> pa.Table:
+    """The pivots of a cell, from a sample of its rows."""
+    rows = rows.sort_by([("h", "ascending"), ("row", "ascending")])
+    x = _vectors_of(rows)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    top = _pivots(x, rows.column("k")[0].as_py())
+    return pa.table({"cell": pa.array([key[0].as_py()] * len(top), pa.string()), "k": pa.array(range(len(top)), pa.int32()), "center": pa.array(top.tolist(), pa.list_(pa.float64()))})
+
+
+def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Some rows of a cell, each with the cell below it whose pivot is nearest, and how far that is."""
+    if not left.num_rows:
+        return left.select(["row", "copies", "embedding", "cell"]).append_column("far", pa.array([], pa.float64()))
+    x, right = _vectors_of(left), right.sort_by("k")
+    inner = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ np.array(right.column("center").to_pylist()).T
+    cell = [f"{key[0].as_py()}.{k}" for k in inner.argmax(axis=1).tolist()]
+    out = left.select(["row", "copies", "embedding"]).append_column("cell", pa.array(cell, pa.string()))
+    return out.append_column("far", pa.array(np.sqrt(np.maximum(2 - 2 * inner.max(axis=1), 0)), pa.float64()))
+
+
+def _apart(a: Column, b: Column) -> Column:
+    """Distance of two unit vectors."""
+    squares = F.transform(F.arrays_zip(a.alias("x"), b.alias("y")), lambda z: (z["x"] - z["y"]) * (z["x"] - z["y"]))
+    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda t, x: t + x))
+
+
+def _blocks_and_partners(reps: DataFrame, cosine: float, block_rows: int, most: int, sample_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(block, row, copies, embedding) and the pairs (a, b) of blocks that may hold links, a block with itself included.
+
+    Vectors of one length are a cell; cells of more than ``block_rows`` are cut around pivots of their own, again and
+    again, and pairs of cells go down with them, pruned by covering radii: the upper levels of one large tree, made where
+    the rows are. A cell that pivots don't part (a cut leaves three quarters together) is cut by hash.
+    """
+    reach = float(np.sqrt(2 - 2 * cosine)) + _SLACK
+    here = reps.select("row", "copies", "embedding", F.size("embedding").cast("string").alias("cell"))
+    sizes = staged(here.groupBy("cell").agg(F.count("*").alias("n")).withColumn("stuck", F.lit(False)), "cells")
+    nodes = sizes.select("cell", F.lit(None).cast("array<double>").alias("center"), F.lit(0.0).alias("far"))
+    pairs = sizes.select(F.col("cell").alias("a"), F.col("cell").alias("b"))
+    rows, leaves = [], []
+    while True:
+        big = (F.col("n") > block_rows) & ~F.col("stuck")
+        leaves.append(sizes.filter(~big))
+        rows.append(here.join(sizes.filter(~big).select("cell", "n"), "cell").select("row", "copies", "embedding", "cell", "n"))
+        cut = sizes.filter(big).select("cell", "n")
+        if cut.isEmpty():
+            break
+        known = here.join(cut, "cell")
+        share = F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / sample_rows)) == 0
+        wanted = F.least(F.lit(most), F.ceil(2 * F.col("n") / block_rows)).cast("int")
+        sample = known.filter(share).select("cell", "row", "embedding", F.xxhash64("row", F.lit(1)).alias("h"), wanted.alias("k"))
+        pivots = staged(sample.groupBy("cell").applyInArrow(_choose, "cell string, k int, center array<double>"), "pivots")
+        chunks = F.ceil(F.col("n") / _DEALT)
+        left = known.withColumn("chunk", F.pmod(F.xxhash64("row", F.lit(2)), chunks)).select("cell", "chunk", "row", "copies", "embedding")
+        right = pivots.join(cut, "cell").select("cell", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), "k", "center")
+        right = right.toDF(*right.columns)
+        below = left.groupBy("cell", "chunk").cogroup(right.groupBy("cell", "chunk")).applyInArrow(_deal, "row long, copies long, embedding array<double>, cell string, far double")
+        here = staged(below, "dealt")
+        above = cut.select(F.col("cell").alias("parent"), F.col("n").alias("whole"))
+        found = here.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).withColumn("parent", F.regexp_replace("cell", r"\.\d+$", ""))
+        centers = pivots.select(F.concat_ws(".", "cell", "k").alias("cell"), "center")
+        made = staged(found.join(above, "parent").join(centers, "cell").withColumn("stuck", F.col("n") > 0.75 * F.col("whole")), "cells")
+        sizes = made.select("cell", "n", "stuck")
+        kids = made.select("parent", "cell", "center", "far")
+        # Cells that were cut are replaced by those below them; the others stay.
+        one = [kids.select(F.col("parent").alias(x), F.col("cell").alias(f"{x}2")) for x in "ab"]
+        down = pairs.join(one[0], "a", "left").join(one[1], "b", "left").select(F.coalesce("a2", "a").alias("a"), F.coalesce("b2", "b").alias("b")).filter("a <= b")
+        nodes = nodes.join(kids.select(F.col("parent").alias("cell")).distinct(), "cell", "left_anti").unionByName(kids.drop("parent"))
+        nodes = staged(nodes, "nodes")
+        ends = [nodes.select(F.col("cell").alias(x), F.col("center").alias(f"c{x}"), F.col("far").alias(f"r{x}")) for x in "ab"]
+        met = down.join(ends[0], "a").join(ends[1], "b")
+        # A cell that was never cut has no center; vectors of other lengths are never its partners.
+        near = (F.col("a") == F.col("b")) | (_apart(F.col("ca"), F.col("cb")) <= F.col("ra") + F.col("rb") + reach)
+        pairs = staged(met.filter(near).select("a", "b"), "partners")
+    subs = F.ceil(F.col("n") / block_rows)
+    whole = reduce(DataFrame.unionByName, rows)
+    blocks = whole.select(F.concat_ws("#", "cell", F.pmod(F.xxhash64("row", F.lit(3)), subs)).alias("block"), "row", "copies", "embedding")
+    parts = reduce(DataFrame.unionByName, leaves).select("cell", F.explode(F.sequence(F.lit(0).cast("long"), subs - 1)).alias("sub"))
+    ends = [parts.select(F.col("cell").alias(x), F.col("sub").alias(f"s{x}")) for x in "ab"]
+    met = pairs.join(ends[0], "a").join(ends[1], "b").filter("a < b or sa <= sb")
+    return blocks, met.select(F.concat_ws("#", "a", "sa").alias("a"), F.concat_ws("#", "b", "sb").alias("b"))
 
 
 def _scaled(v: Column) -> Column:
@@ -290,7 +380,7 @@ def _scaled(v: Column) -> Column:
 
 
 def near_vectors(
-    vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9, block_rows: int = 4096, pivots: int = 16, sample_rows: int = 2048
+    vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9, block_rows: int = 4096, pivots: int = 16, sample_rows: int = 1024
 ) -> DataFrame:
     """Link vectors of cosine ``cosine`` (over 0.5) or more: vec_id, n_links, component_id, kept.
 
@@ -298,8 +388,9 @@ def near_vectors(
     links reach, the own included; ``kept`` is whether that is the own id. Vectors that are null, empty or zero, or that
     hold a null or a non-finite component, link with nothing; vectors of different lengths never link. Rows with equal
     ids are vectors of their own, and null ids are never the smallest unless a component has no other. An empty table
-    gives no rows. Components of any finite size are told apart by direction alone. Other columns are ignored. Pivots come from a sample of ``sample_rows`` classes, the smallest by hash;
-    the sample moves the blocks' borders only, not the result.
+    gives no rows. Components of any finite size are told apart by direction alone. Other columns are ignored. Cells of more than ``block_rows`` classes are cut around
+    ``pivots`` classes at most, from a sample of about ``sample_rows`` of the cell by hash; the sample moves the blocks'
+    borders only, not the result.
     """
     spark = vectors.sparkSession
     small_batches(spark)
@@ -312,54 +403,20 @@ def near_vectors(
     # Aggregates that are joined back are written first: then both sides are plain exchanges, of which Spark can split hot keys.
     classes = staged(good.groupBy("digest").agg(F.min("row").alias("rep"), F.count("*").alias("copies")), "digests")
     member = staged(good.select("row", "vec_id", "digest").join(classes, "digest").drop("digest"), "members")
-    reps = member.filter("row = rep").select("row", "copies").join(rows.select("row", _scaled(F.col("embedding")).alias("embedding")), "row").withColumn("dim", F.size("embedding"))
-    reps = staged(reps, "classes")
-    tops, cells, sizes = [], {}, []
-    # Few lengths occur in a table of embeddings; each is a tree of its own.
-    dims = [r["dim"] for r in reps.groupBy("dim").count().orderBy("dim").collect()]
-    for dim in dims:
-        some = reps.filter(F.col("dim") == dim).orderBy(F.xxhash64("row"), "row").limit(sample_rows).toPandas()["embedding"].tolist()
-        unit = np.array(some, dtype=np.float64)
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        cells[dim] = (len(tops), _pivots(unit, pivots))
-        tops += list(cells[dim][1])
-        sizes += [dim] * len(cells[dim][1])
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dim = batch.column("dim").to_numpy()
-            cell, far = np.zeros(len(dim), np.int32), np.zeros(len(dim))
-            for d in np.unique(dim):
-                at = np.flatnonzero(dim == d)
-                x = batch.column("embedding").take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), -1)
-                base, top = cells[int(d)]
-                inner = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ top.T
-                cell[at] = base + np.argmax(inner, axis=1)
-                far[at] = np.sqrt(np.maximum(2 - 2 * inner.max(axis=1), 0))
-            columns = [batch.column("row"), batch.column("copies"), batch.column("embedding"), pa.array(cell), pa.array(far)]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "copies", "embedding", "cell", "far"])
-
-    if dims:
-        dealt = staged(reps.mapInArrow(deal, "row long, copies long, embedding array<double>, cell int, far double"), "dealt")
-        # As many rows as there are pivots.
-        found = {r["cell"]: (r["n"], r["far"]) for r in dealt.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
-        subs = {c: -(-n // block_rows) for c, (n, _) in found.items()}
-        many = F.create_map(*[F.lit(x) for c, n in subs.items() for x in (c, n)])
-        blocks = dealt.withColumn("sub", F.pmod(F.xxhash64("row"), many[F.col("cell")]).cast("int"))
-        blocks = staged(blocks.groupBy("cell", "sub").applyInArrow(_make_block, "cell int, sub int, held binary"), "blocks")
-        eps = float(np.sqrt(2 - 2 * cosine))
-        near_cells = [(a, b) for a in found for b in found if a <= b and sizes[a] == sizes[b] and np.linalg.norm(tops[a] - tops[b]) <= found[a][1] + found[b][1] + eps + _SLACK]
-        left = blocks.select(F.col("cell").alias("ca"), F.col("sub").alias("sa"), F.col("held").alias("ha"))
-        right = blocks.select(F.col("cell").alias("cb"), F.col("sub").alias("sb"))
-        partners = spark.createDataFrame(near_cells, "ca int, cb int")
-        pairs = left.drop("ha").join(F.broadcast(partners), "ca").join(right, "cb").filter("ca < cb or sa <= sb")
-        tasks = pairs.join(left, ["ca", "sa"]).join(blocks.select(F.col("cell").alias("cb"), F.col("sub").alias("sb"), F.col("held").alias("hb")), ["cb", "sb"])
-        tasks = tasks.withColumn("same", F.expr("ca = cb and sa = sb")).select("ca", "sa", "cb", "sb", "same", "ha", "hb")
-        tasks = tasks.repartition("ca", "sa", "cb", "sb").select("same", "ha", "hb")
-        with batches_of(spark, 4):
-            linked = staged(tasks.mapInArrow(_linker(cosine), "row long, links long, other long"), "linked")
-    else:
-        linked = spark.createDataFrame([], "row long, links long, other long")
+    reps = staged(member.filter("row = rep").select("row", "copies").join(rows.select("row", _scaled(F.col("embedding")).alias("embedding")), "row"), "classes")
+    rows_of, partners = _blocks_and_partners(reps, cosine, block_rows, pivots, sample_rows)
+    blocks = staged(rows_of.groupBy("block").applyInArrow(_make_block, "block string, held binary"), "blocks")
+    # A hash may leave a block without rows.
+    there = blocks.select("block")
+    partners = staged(partners.join(there.withColumnRenamed("block", "a"), "a", "left_semi").join(there.withColumnRenamed("block", "b"), "b", "left_semi"), "partners")
+    slots = partners.groupBy("a").agg(F.ceil(F.count("*") / _PARTNERS).alias("slots"))
+    tasks = partners.join(slots, "a").select("a", "b", F.pmod(F.xxhash64("b"), "slots").alias("slot"))
+    # A block goes once to each group of its partners, not once to each of them.
+    left = tasks.select("a", "slot").distinct().join(blocks.select(F.col("block").alias("a"), F.col("held").alias("ha")), "a")
+    others = tasks.filter("a <> b").join(blocks.select(F.col("block").alias("b"), F.col("held").alias("hb")), "b").select("a", "slot", "hb")
+    right = others.unionByName(tasks.filter("a = b").select("a", "slot", F.lit(None).cast("binary").alias("hb")))
+    right = right.toDF(*right.columns)
+    linked = staged(left.groupBy("a", "slot").cogroup(right.groupBy("a", "slot")).applyInArrow(_linker(cosine), "row long, links long, other long"), "linked")
     labels = staged(components(linked.filter("other >= 0").select("row", "other")), "labels")
     direct = linked.groupBy("row").agg(F.sum("links").alias("links"))
     grouped = member.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))

@@ -384,6 +384,22 @@ def test_cover_trees_nest_and_cover():
             assert p in below and np.linalg.norm(unit[below] - unit[p], axis=1).max() <= t["radius"][k][node] + 1e-6
 
 
+def test_blocks_follow_the_geometry(spark):
+    r = np.random.default_rng(5)
+    centers = np.repeat(np.eye(32), 2, axis=0) + r.normal(size=(64, 32)) * 0.01
+    x = centers[r.integers(64, size=2000)] + r.normal(size=(2000, 32)) * 0.005
+    reps = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "row long, copies long, embedding array<double>")
+    blocks, partners = covertree._blocks_and_partners(reps, 0.9, 100, 8, 500)
+    held = Counter(b["block"] for b in blocks.select("block").collect())
+    met = {(p["a"], p["b"]) for p in partners.collect()}
+    assert sum(held.values()) == 2000 and max(held.values()) < 200 and len(held) > 20 and all((b, b) in met for b in held)
+    assert len(met) < len(held) * (len(held) + 1) / 4  # most pairs of blocks are pruned
+    block_of = {b["row"]: b["block"] for b in blocks.select("row", "block").collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = {tuple(sorted((block_of[i], block_of[j]))) for i, j in zip(*np.nonzero(unit @ unit.T >= 0.9))}
+    assert linked <= {tuple(sorted(p)) for p in met}
+
+
 def test_odd_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]), (7, [None, 1.0]), (8, [float("inf"), 1.0]), (None, [1.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [0.0, 1.0]), (11, [-0.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("row", F.lit("clash"))
