@@ -32,6 +32,8 @@ _RADII = (2.0, 1.0, 0.5, 0.25, 0.125, 0.0625)
 _SLACK = 1e-3
 #: Node pairs expanded at a time.
 _CHUNK = 1 << 18
+#: What a comparison of children costs against one in a product of all nodes.
+_DEARER = 12
 #: Rows dealt to the cells below theirs at a time.
 _DEALT = 16384
 #: Partners that a block meets in one task, about.
@@ -137,6 +139,25 @@ def _expand(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
     return a[0][ia][which] + at // nb[which], b[0][ib][which] + at % nb[which]
 
 
+def _start(fx: np.ndarray, tx: dict, fy: np.ndarray, ty: dict, eps: float) -> int:
+    """The level to begin at: the one whose own comparisons and those of the next level that it leaves cost least.
+
+    All pairs of nodes of the first level are compared by one product; a pair that is left costs each pair of children
+    about ``_DEARER`` such comparisons. What is left is estimated from nodes spread over the level; results don't depend on it.
+    """
+    last = len(tx["points"]) - 1
+    costs = []
+    for level in range(1, last):
+        (px, rx), (py, ry) = (([t[k][level] for k in ("points", "radius")]) for t in (tx, ty))
+        some, others = (np.linspace(0, len(p) - 1, min(len(p), 256)).astype(np.int64) for p in (px, py))
+        d = np.sqrt(np.maximum(2 - 2 * (fx[px[some]] @ fy[py[others]].T), 0))
+        reach = rx[some][:, None] + ry[others][None, :]
+        left = (d <= reach + eps + _SLACK) & ~((d + reach <= eps - _SLACK) & (reach > 0))
+        below = len(tx["points"][level + 1]) * len(ty["points"][level + 1])
+        costs.append(len(px) * len(py) + _DEARER * left.mean() * below)
+    return 1 + int(np.argmin(costs))
+
+
 def traverse(x: np.ndarray, tx: dict, y: np.ndarray, ty: dict, same: bool, cosine: float, wx: np.ndarray, wy: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
     """(links of each row of x, of y, stars as pairs of (side, row) arrays) over the rows of two blocks, or of one with itself."""
     eps = float(np.sqrt(2 - 2 * cosine))
@@ -147,10 +168,7 @@ def traverse(x: np.ndarray, tx: dict, y: np.ndarray, ty: dict, same: bool, cosin
     stars: list[tuple[np.ndarray, np.ndarray]] = []
     last = len(tx["points"]) - 1
     ia, ib = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    # Levels that the next one hardly refines prune nothing that it doesn't: begin below them.
-    start = 1
-    while start < last - 1 and all(len(t["points"][start + 1]) <= 1.05 * len(t["points"][start]) for t in (tx, ty)):
-        start += 1
+    start = _start(fx, tx, fy, ty, eps)
     for level in range(start, last + 1):
         px, py, rx, ry = tx["points"][level], ty["points"][level], tx["radius"][level], ty["radius"][level]
         keep_a, keep_b = [], []
