@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -40,6 +41,36 @@ def test_compiled_rules_score_like_the_model(spark):
     assert model.rules and model.describe()
 
 
+def plain_statistics(text):
+    """The statistics, each by its definition."""
+    t = text or ""
+    words, lines = WORD.findall(t), [x for x in t.split("\n") if x]
+    letter, digit, usual = regex.compile(r"\p{L}"), regex.compile(r"\p{N}"), ".,;:!?'\"()-"
+    plain = lambda c: bool(letter.match(c) or digit.match(c)) or c in usual
+    share = lambda a, b: a / b if b else 0.0
+    among = lambda kind: share(sum(map(kind, t)), len(t))
+    return {
+        "chars": len(t), "words": len(words), "lines": len(lines), "word_chars": share(sum(map(len, words)), len(words)), "line_chars": share(len(t), len(lines)),
+        "distinct_words": share(len(set(words)), len(words)), "distinct_lines": share(len(set(lines)), len(lines)),
+        "symbols": among(lambda c: not plain(c) and c not in " \t\n\x0b\f\r"), "digits": among(lambda c: bool(digit.match(c))), "capitals": among(lambda c: bool(regex.match(r"\p{Lu}", c))),
+        "stops": among(lambda c: c in ".!?"), "commas": among(lambda c: c in ",;:"), "longest_word": max(map(len, words), default=0),
+        "short_words": share(sum(len(w) <= 3 for w in words), len(words)), "marked_words": share(sum(not plain(w[-1]) for w in words), len(words)),
+        "lone_marks": share(sum(len(w) == 1 for w in words), len(words)), "long_lines": share(sum(len(x) > 400 for x in lines), len(lines)),
+    }
+
+
+def test_statistics_by_their_definitions(spark, odd):
+    made = ["A* b# \u00c9t\u00e9 \u4e16\u754c 12\u0663 $5,00; x:y (z)!\n\n" + "long " * 90 + "\n-\t@\x0b~ ok?", "\u2603 \U0001f600\U0001f600 \u00a0 \x1c a\u0301", "\n\n\n", "one line. one line.\none line. one line."]
+    few = spark.createDataFrame([(t,) for t in made], "text string")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text").unionByName(odd.select("text")).unionByName(few)
+    rows = quality.with_statistics(docs, F.col("text")).collect()
+    for r in rows:
+        want = plain_statistics(r["text"])
+        got = dict(zip(quality.STATISTICS, r["stats"]))
+        assert list(want) == list(got) and all(abs(got[k] - want[k]) <= 1e-12 * max(1, abs(want[k])) for k in want), (r["text"][:80], {k: (got[k], want[k]) for k in want if got[k] != want[k]})
+    assert len(rows) > 200
+
+
 def test_classifier_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(4, 1), (7, 0), (7, 1), (8, None), (None, 1), (99, 0)], "doc_id long, quality int")
     got = quality.classify(odd, labels).collect()
