@@ -25,6 +25,20 @@ def test_csv_round_trip(spark, tmp_path):
     assert tables.file_digests(spark, str(tmp_path / "raw")).filter("path like '%.csv'").first()["sha256"] == tables.file_sha256(next((tmp_path / "raw").glob("*.csv")))
 
 
+def test_generators(spark):
+    frame = tables.linkage_frame(spark)
+    assert frame.count() == 180 and frame.groupBy("enb_id").agg(F.countDistinct("imei").alias("n")).filter("n > 1").isEmpty()
+    plain, keyed = (tables.audit_demo(spark, key, users=20, days=2) for key in (None, "secret"))
+    assert plain.count() == keyed.count() == 240 and "imei" in plain.columns and "imei" not in keyed.columns
+    assert plain.join(keyed, "msisdn", "left_semi").isEmpty() and keyed.select("msisdn").distinct().count() == 20
+    assert plain.filter("time_start rlike '^\\\\d{4}-\\\\d{2}-\\\\d{2}T'").count() == 240
+    orig, anon = tables.utility_frames(spark, rows=3000)
+    n, missing = orig.agg(F.count("*"), F.sum(F.col("tp_dl_filtered_avg").isNull().cast("int"))).first()
+    assert n == 3000 and 800 < missing < 1000 and 2850 < anon.count() < 2960
+    moved = orig.join(anon.select("row_id", F.col("tp_dl_avg").alias("x")), "row_id").agg(F.max(F.abs(F.col("x") / F.col("tp_dl_avg") - 1))).first()[0]
+    assert 0 < moved <= 0.02 + 1e-9
+
+
 def test_pruning_reaches_the_scan(spark):
     plan = tables.original_for_utility(tables.telemetry(spark, "/root/testdata/sf0.001")).select("province")._jdf.queryExecution().executedPlan().toString()
     assert "event_type" not in plan.split("ReadSchema")[-1]
