@@ -676,6 +676,10 @@ def oracles() -> dict[str, str]:
         "hourly_row_linking": _with(A + _linking_ctes(), f"select {_LK}"),
         "row_order_leak": _with(A + ORDER, f"select {_r('adj', 'adjacent_same_user')}, {_r('e', 'expected_if_shuffled')}, adj > greatest(3 * e, 0.01) as leak, {_r('srt', 'time_sorted_share')} from ad, ex"),
         "excess_precision": _with(A, excess),
+        "column_flags": (
+            "select case when column_name in ('msisdn', 'imsi') then 'direct_id_columns_present' else 'index_like_columns' end as kind, column_name as \"column\" "
+            f"from (describe with {RAW} select * from raw) where lower(column_name) in ('msisdn', 'imsi', 'index', 'id', 'row_id') or lower(column_name) like 'unnamed%'"
+        ),
         "device_lengths": _with(A, "select length(imei) as length, count(*) as rows from a where imei is not null group by 1 order by rows desc, length limit 5"),
         "attack_headline": _headline(),
         "audit_summary": _audit_summary(),

@@ -56,6 +56,12 @@ def qi_class_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.groupBy("hour", PROVINCE, RAT, CELL, APP).agg(F.count("*").alias("n")).withColumn("small", F.col("n") < SETTINGS.k_min)
 
 
+def column_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1's look at a header: (kind, column) of direct identifiers and columns like a row index."""
+    df = raw(spark, sf_dir)
+    return spark.createDataFrame([(kind, c) for kind, names in attacks.odd_columns(df).items() for c in names], "kind string, `column` string")
+
+
 def sig_round_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw(spark, sf_dir).select("row_id", *[sig_round(F.col(c), 3).alias(c) for c in KPIS])
 
@@ -244,6 +250,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_row_linking": _on_release(attacks.row_linking),
     "row_order_leak": _on_release(attacks.row_order),
     "excess_precision": _on_release(lambda a: attacks.excess_precision(a, SETTINGS)),
+    "column_flags": column_flags,
     "device_lengths": _on_release(attacks.device_lengths),
     "attack_headline": _on_pair(lambda a, r: attacks.headline(a, r, SETTINGS)),
     "audit_summary": audit_summary,
