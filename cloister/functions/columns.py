@@ -109,6 +109,17 @@ def quantile(share: float | Column, value: str, weight: str) -> Column:
     return F.when(low == high, low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high)
 
 
+def pearson(x: str, y: str) -> Column:
+    """Aggregate: Pearson's correlation of two columns without nulls; NaN where one of them doesn't vary, null without rows.
+
+    ``corr`` divides by zero there, an error in ANSI mode. Variances of a constant column that are merged from partitions may
+    differ from zero in their last bits, so its least and greatest values tell.
+    """
+    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    r = F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+    return F.when(varies, r).when(F.count(x) > 0, F.lit(float("nan")))
+
+
 def melt(df: DataFrame, keys: list[str], columns: list[str], name: str = "column", value: str = "value") -> DataFrame:
     """One row per key and column with a value that isn't null."""
     return df.unpivot([F.col(k) for k in keys], [F.col(f"`{c}`") for c in columns], name, value).filter(F.col(value).isNotNull())

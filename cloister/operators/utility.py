@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CATEGORIES, CELL, KPIS, PROVINCE, RAT
-from ..functions.columns import melt, quantile, running_total, running_totals
+from ..functions.columns import melt, pearson, quantile, running_total, running_totals
 
 
 def _verdict(ok: Column) -> Column:
@@ -165,7 +165,7 @@ def findings(orig: DataFrame, anon: DataFrame, metric: str = "tp_dl_avg", least:
     # One row for each province: the smaller ones, and half of the equal ones with itself.
     rank = lambda x: F.rank().over(Window.partitionBy(F.lit(0)).orderBy(x)) - 1 + 0.5 * F.count("*").over(Window.partitionBy(x))
     ranked = prov.select(rank("o").alias("ro"), rank("a").alias("ra"))
-    rho = ranked.agg(F.count("*").alias("n"), F.corr("ro", "ra").alias("rho")).withColumn("rho", F.when(F.col("n") >= 3, F.nanvl("rho", F.lit(None))))
+    rho = ranked.agg(F.count("*").alias("n"), pearson("ro", "ra").alias("rho")).withColumn("rho", F.when(F.col("n") >= 3, F.nanvl("rho", F.lit(None))))
     second = rho.select(F.lit("province_ranking_spearman").alias("item"), F.round("rho", 6).alias("value"), _verdict(F.col("rho").isNull() | (F.round("rho", 9) >= 0.95)))
     return first.unionByName(second)
 

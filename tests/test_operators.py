@@ -126,6 +126,15 @@ def test_spearman_against_pandas(spark):
         assert abs(r["rho"] - want.loc[r["a"], r["b"]]) < 1e-9
 
 
+def test_tied_medians_are_no_error(spark):
+    rows = spark.range(300).selectExpr("id as row_id", f"concat('P', id % 3) as {PROVINCE}", f"if(id % 2 = 0, '4G', '5G') as {RAT}", "cast(id % 3 + 1 as double) as tp_dl_avg")
+    tied = rows.withColumn("tp_dl_avg", F.lit(5.0))
+    for o, a in ((rows, tied), (tied, rows), (tied, tied)):
+        found = {r["item"]: (r["value"], r["status"]) for r in utility.findings(o, a).collect()}
+        assert found["province_ranking_spearman"] == (None, "PASS")
+    assert {r["item"]: r["value"] for r in utility.findings(rows, rows).collect()}["province_ranking_spearman"] == 1.0
+
+
 def stationary(spark, devices=30, hours=6, one_device=False, one_cell=False):
     rows = [(d * hours + h, h, f"P{d % 3}", "5G", 1 if one_cell else d + 1, "AB"[d % 2], "shared" if one_device else f"dev{d:05d}") for d in range(devices) for h in range(hours)]
     return events(spark, rows)

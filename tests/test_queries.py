@@ -53,6 +53,38 @@ def test_entry(spark):
     assert set(SQL) <= set(__spark_entry__.oracle_sql()) and set(QUERIES) <= set(__spark_entry__.queries())
 
 
+@pytest.fixture(scope="module")
+def tied(spark, tmp_path_factory):
+    """(directory, connection): events whose median throughput is the same in every province."""
+    from pyspark.sql import functions as F
+
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    kinds = dict(events.dtypes)
+    tenth = F.floor(F.col("event_id") / 10) % 10
+    path = str(tmp_path_factory.mktemp("tied"))
+    events.select(
+        "event_id", F.date_trunc("day", "ts").cast(kinds["ts"]).alias("ts"), (F.col("user_id") * 7).cast(kinds["user_id"]).alias("user_id"), "event_type",
+        F.when(tenth == 0, 10.0).when(tenth == 1, 30.0).otherwise(20.0).alias("value"), "props",
+    ).write.parquet(f"{path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{path}/events.parquet/*.parquet'")
+    return path, con
+
+
+def same_on_tied(spark, tied, name):
+    path, con = tied
+    want = con.execute(SQL[name])
+    got, names = QUERIES[name](spark, path), [d[0] for d in want.description]
+    found = rows([tuple(r) for r in got.collect()], got.columns)
+    assert found == rows(want.fetchall(), names)
+    return found
+
+
+def test_finding_gap_of_tied_provinces(spark, tied):
+    found = same_on_tied(spark, tied, "finding_gap")
+    assert ("'province_ranking_spearman'", "'PASS'", "None") in found
+
+
 def test_high_numbers_are_enumerated(spark, tmp_path):
     from pyspark.sql import functions as F
 
