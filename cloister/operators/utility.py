@@ -133,7 +133,7 @@ def spearman(df: DataFrame, columns: list[str], row: str = "row_id") -> DataFram
         counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
         ranks = running_total(counts, "column", "value", "n").select("column", "value", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
         ranked = long.join(ranks, ["column", "value"]).groupBy(row).pivot("column", used).agg(F.first("rank"))
-        one = ranked.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+        one = ranked.agg(*[pearson(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
         one = one.unpivot([], [str(i) for i in range(len(pairs))], "i", "rho")
         names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
         one = one.select(names[F.col("i").cast("int")].alias("p"), "rho").select("p.a", "p.b", "rho")

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 
 import pytest
 from pyspark.sql import Row
@@ -135,6 +136,15 @@ def test_tied_medians_are_no_error(spark):
     assert {r["item"]: r["value"] for r in utility.findings(rows, rows).collect()}["province_ranking_spearman"] == 1.0
 
 
+def test_constant_measurements_are_no_error(spark):
+    cols = ["tp_dl_avg", "tp_ul_avg", "http_sr_avg"]
+    # 49 partitions of uneven sizes: merged variances of equal ranks need not be zero.
+    rows = spark.range(0, 1000, 1, 49).selectExpr("id as row_id", "cast(id as double) as tp_dl_avg", "cast(id * 7 % 1000 as double) as tp_ul_avg", "0.9D as http_sr_avg")
+    got, want = {(r["a"], r["b"]): r["rho"] for r in utility.spearman(rows, cols).collect()}, rows.toPandas()[cols].corr(method="spearman")
+    assert math.isnan(got[cols[0], cols[2]]) and math.isnan(got[cols[1], cols[2]]) and abs(got[cols[0], cols[1]] - want.loc[cols[0], cols[1]]) < 1e-9
+    assert [(r["value"], r["status"]) for r in utility.correlation_verdict(utility.correlation(rows, rows)).collect()] == [(0.0, "PASS")]
+
+
 def stationary(spark, devices=30, hours=6, one_device=False, one_cell=False):
     rows = [(d * hours + h, h, f"P{d % 3}", "5G", 1 if one_cell else d + 1, "AB"[d % 2], "shared" if one_device else f"dev{d:05d}") for d in range(devices) for h in range(hours)]
     return events(spark, rows)

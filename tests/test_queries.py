@@ -85,6 +85,10 @@ def test_finding_gap_of_tied_provinces(spark, tied):
     assert ("'province_ranking_spearman'", "'PASS'", "None") in found
 
 
+def test_scorecard_of_tied_provinces(spark, tied):
+    assert ("2", "'M7'", "2", "'PASS'") in same_on_tied(spark, tied, "utility_scorecard")
+
+
 def test_high_numbers_are_enumerated(spark, tmp_path):
     from pyspark.sql import functions as F
 
