@@ -89,6 +89,15 @@ def test_scorecard_of_tied_provinces(spark, tied):
     assert ("2", "'M7'", "2", "'PASS'") in same_on_tied(spark, tied, "utility_scorecard")
 
 
+def test_whole_scorecard_of_tied_provinces(spark, tied):
+    path, con = tied
+    want = con.execute(SQL["utility_scorecard"])
+    names = [d[0] for d in want.description]
+    got = QUERIES["utility_scorecard_whole"](spark, path).select(*names).collect()
+    assert rows([tuple(r) for r in got if r["metric"] != "M8"], names) == rows(want.fetchall(), names)
+    assert [r["items"] for r in got if r["metric"] == "M8"] == [2]
+
+
 def test_high_numbers_are_enumerated(spark, tmp_path):
     from pyspark.sql import functions as F
 
