@@ -36,10 +36,10 @@ def downstream(orig: DataFrame, anon: DataFrame, row: str = "row_id", target: st
     train, test = everything.filter(inside), everything.filter(~inside)
     low = train.agg(F.percentile_approx("t", 0.2, 10000)).first()[0]
     out: dict[str, tuple[float, float]] = {}
+    base = Pipeline(stages=_stages(numbers, labels)).fit(everything)
+    held = base.transform(test.withColumn("poor", (F.col("t") < low).cast("double")))
     for name, part in (("orig", train), ("anon", released)):
-        poor = part.withColumn("poor", (F.col("t") < low).cast("double"))
-        base = Pipeline(stages=_stages(numbers, labels)).fit(everything)
-        seen, held = base.transform(poor), base.transform(test.withColumn("poor", (F.col("t") < low).cast("double")))
+        seen = base.transform(part.withColumn("poor", (F.col("t") < low).cast("double")))
         fitted = GBTRegressor(labelCol="y", maxIter=rounds, seed=settings.seed, maxBins=64).fit(seen).transform(held)
         e = fitted.agg(F.sum(F.pow(F.col("y") - F.col("prediction"), F.lit(2.0))).alias("res"), (F.var_pop("y") * F.count("y")).alias("tot")).first()
         guessed = GBTClassifier(labelCol="poor", maxIter=rounds, seed=settings.seed, maxBins=64).fit(seen).transform(held)

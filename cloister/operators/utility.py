@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import combinations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,19 @@ def relative_error(o: Column, a: Column) -> Column:
     return F.when((o == 0) & (a == 0), 0.0).otherwise(F.abs(a - o) / F.greatest(F.abs(o), F.lit(1e-12)))
 
 
+@contextmanager
+def stored(*tables: DataFrame) -> Iterator[None]:
+    """Tables that are read many times inside stay on the executors' disks meanwhile, unless they are kept already."""
+    new = [t for t in tables if not (t.storageLevel.useDisk or t.storageLevel.useMemory)]
+    for t in new:
+        t.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield
+    finally:
+        for t in new:
+            t.unpersist()
+
+
 def shared(orig: DataFrame, anon: DataFrame, columns: tuple[str, ...]) -> list[str]:
     return [c for c in columns if c in orig.columns and c in anon.columns]
 
@@ -132,7 +148,9 @@ def spearman(df: DataFrame, columns: list[str], row: str = "row_id") -> DataFram
         long = melt(rows.select(row, *used), [row], used)
         counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
         ranks = running_total(counts, "column", "value", "n").select("column", "value", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
-        ranked = long.join(ranks, ["column", "value"]).groupBy(row).pivot("column", used).agg(F.first("rank"))
+        # A row's ranks meet in one shuffle, before they are aggregated: a pivot takes two and aggregates by row and column between.
+        placed = long.join(ranks, ["column", "value"]).select(row, "column", "rank").repartition(row)
+        ranked = placed.groupBy(row).agg(*[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in used])
         one = ranked.agg(*[pearson(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
         one = one.unpivot([], [str(i) for i in range(len(pairs))], "i", "rho")
         names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
@@ -192,17 +210,21 @@ def worst_cells(orig: DataFrame, anon: DataFrame, min_rows: int = 20, top: float
 
 
 def detail(orig: DataFrame, anon: DataFrame, row: str = "row_id", models: DataFrame | None = None) -> DataFrame:
-    """(metric, item, value, status) of every measure; M8 where ``learned.downstream``'s rows are given as ``models``."""
+    """(metric, item, value, status) of every measure; M8 where ``learned.downstream``'s rows are given as ``models``.
+
+    Measures run one after another over stored tables, each giving a few rows: as one plan they would make both tables anew
+    for each measure and hold the stages of all at once.
+    """
     parts = {
-        "M1": row_retention(orig, anon), "M3": completeness(orig, anon), "M4": distributions(orig, anon).select("item", F.col("ks").alias("value"), "status"), "M5": categorical(orig, anon),
-        "M6": correlation_verdict(correlation(orig, anon, row)), "M7": findings(orig, anon), "M9": worst_cells(orig, anon),
-        **({"M8": models} if models is not None else {}),
+        "M1": lambda: row_retention(orig, anon), "M3": lambda: completeness(orig, anon), "M4": lambda: distributions(orig, anon).select("item", F.col("ks").alias("value"), "status"), "M5": lambda: categorical(orig, anon),
+        "M6": lambda: correlation_verdict(correlation(orig, anon, row)), "M7": lambda: findings(orig, anon), "M9": lambda: worst_cells(orig, anon),
+        **({"M8": lambda: models} if models is not None else {}),
     }
-    out = None
-    for name, part in parts.items():
-        one = part.select(F.lit(name).alias("metric"), "item", "value", "status")
-        out = one if out is None else out.unionByName(one)
-    return out
+    rows = []
+    with stored(orig, anon):
+        for name, part in parts.items():
+            rows += part().select(F.lit(name).alias("metric"), "item", F.col("value").cast("double"), "status").collect()
+    return orig.sparkSession.createDataFrame(rows, "metric string, item string, value double, status string")
 
 
 def scorecard(detail_rows: DataFrame) -> DataFrame:

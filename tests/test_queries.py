@@ -105,3 +105,23 @@ def test_high_numbers_are_enumerated(spark, tmp_path):
     events.withColumn("user_id", (F.col("user_id") + 2_500_000).cast(events.schema["user_id"].dataType)).write.parquet(f"{tmp_path}/events.parquet")
     found = QUERIES["pseudonym_enumeration_whole"](spark, str(tmp_path)).first()
     assert found["recovered"] == found["targets"] > 0 and found["candidates"] == 6_000_000 and found["status"] == "FAIL"
+
+
+def test_whole_scorecard_reads_events_once(spark, monkeypatch):
+    from cloister.operators import learned, utility
+    from cloister.plans import queries
+
+    seen = []
+
+    def models(o, a, settings):
+        seen.extend([o.storageLevel.useDisk, a.storageLevel.useDisk])
+        return spark.createDataFrame([("r2_ratio", 1.0, "PASS"), ("f1_ratio", None, "FAIL")], "item string, value double, status string")
+
+    monkeypatch.setattr(learned, "downstream", models)
+    o, a = queries.utility_pair(spark, SMALL)
+    card = queries.whole_scorecard(o, a)
+    assert seen == [True, True] and not (o.storageLevel.useDisk or a.storageLevel.useDisk)
+    assert "FileScan" not in card._jdf.queryExecution().executedPlan().toString()
+    got = {r["metric"]: (r["items"], r["passed"], r["status"]) for r in card.collect()}
+    plain = {r["metric"]: (r["items"], r["passed"], r["status"]) for r in utility.scorecard(utility.detail(o, a)).collect()}
+    assert got == plain | {"M8": (2, 1, "FAIL")}
